@@ -28,20 +28,24 @@ class LogisticModel:
     intercept: float
     n_iter: int
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``probability`` and ``prediction`` (1 from 0.5 on)."""
+    def _probability(self):
+        return sigmoid(linear(self.features.operand(), self.coefficients, self.intercept))
+
+    def predict_proba(self, df: DataFrame, output: str = "probability") -> DataFrame:
         self.features.check(df)
-        z = linear(self.features.operand(), self.coefficients, self.intercept)
-        p = F.col("probability")
-        return df.withColumn("probability", sigmoid(z)).withColumn(
-            "prediction", F.when(~F.isnan(p) & (p >= 0.5), F.lit(1.0)).otherwise(F.lit(0.0))
-        )
+        return df.withColumn(output, self._probability())
 
-    def predict_proba(self, df: DataFrame) -> DataFrame:
-        return self.transform(df).drop("prediction")
+    def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
+        """Label 1 from a probability of 0.5 on."""
+        self.features.check(df)
+        p = self._probability()
+        return df.withColumn(
+            output, F.when(~F.isnan(p) & (p >= 0.5), F.lit(1.0)).otherwise(F.lit(0.0))
+        )
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        return self.transform(df).drop("probability")
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``probability`` and ``prediction``."""
+        return self.predict(self.predict_proba(df))
 
     def score(self, ds: TabularDataset) -> float:
         return classification_metrics(self.predict(ds.df), ds.label, "prediction").head()["accuracy"]

@@ -48,8 +48,9 @@ def test_border_row_takes_the_lowest_cluster(spark):
     check(spark, x, 2.0, 4)
 
 
-@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
-@pytest.mark.parametrize("d", [1, 2, 3])
+@pytest.mark.parametrize(
+    "d,metric", [(1, "euclidean"), (2, "manhattan"), (2, "euclidean"), (3, "euclidean")]
+)
 def test_random_points_match_brute_force(spark, d, metric):
     rng = np.random.default_rng(d)
     x = np.concatenate(
