@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from gramspan.functions import linear
 from gramspan.operators.metrics import classification_metrics
 from gramspan.plans.gram import arrow_matrix
-from gramspan.session import durable
+from gramspan.session import RollingTable, durable
 from gramspan.sources import Features, TabularDataset
 
 KERNELS = ("linear", "polynomial", "rbf", "sigmoid")
@@ -330,7 +330,8 @@ class SVC:
     def _fit_decomposition(self, merged, features):
         """State per row: signed weight ``u``, and ``v`` = y - score."""
         kernel, width = self.kernel, features.width
-        state = durable(
+        table = RollingTable(merged.sparkSession)
+        state = table.advance(
             merged.select(
                 F.monotonically_increasing_id().alias("id"),
                 "x",
@@ -345,42 +346,36 @@ class SVC:
         lower = F.when(F.col("y") > 0, F.lit(0.0)).otherwise(-F.col("cap"))
         can_grow = F.col("u") < upper - F.col("cap") * 1e-12
         can_shrink = F.col("u") > lower + F.col("cap") * 1e-12
-        previous: list = []
+        quarter = WORKING_SET // 4
+        kept: dict[int, tuple] = {}
         bias, rounds = 0.0, 0
         for rounds in range(1, self.max_iter + 1):
-            ends = state.agg(
-                F.max(F.when(can_grow, F.col("v"))).alias("top"),
-                F.min(F.when(can_shrink, F.col("v"))).alias("bottom"),
-            ).head()
-            bias = (ends["top"] + ends["bottom"]) / 2.0
-            if ends["top"] - ends["bottom"] <= self.tolerance:
-                break
-            quarter = WORKING_SET // 4
             grow = state.filter(can_grow).orderBy(F.desc("v"), "id").limit(quarter)
             shrink = state.filter(can_shrink).orderBy("v", "id").limit(quarter)
-            fresh = grow.unionByName(shrink).collect()
-            kept = state.filter(F.col("id").isin(previous)).collect() if previous else []
-            chosen = {r["id"]: r for r in fresh}
-            for r in kept:
-                if len(chosen) >= WORKING_SET:
-                    break
-                chosen.setdefault(r["id"], r)
-            rows = list(chosen.values())
-            x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), -1)
-            old = np.array([r["u"] for r in rows])
-            u, _, _ = solve_dual(
-                kernel.block(x, x),
-                np.array([r["y"] for r in rows]),
-                np.array([r["cap"] for r in rows]),
-                old,
-                np.array([r["v"] for r in rows]),
-                self.tolerance / 2.0,
-                self._budget(len(rows)),
+            worst = (
+                grow.withColumn("up", F.lit(True))
+                .unionByName(shrink.withColumn("up", F.lit(False)))
+                .collect()
+            )
+            top = max(r["v"] for r in worst if r["up"])
+            bottom = min(r["v"] for r in worst if not r["up"])
+            bias = (top + bottom) / 2.0
+            if top - bottom <= self.tolerance:
+                break
+            fresh = {r["id"]: (r["x"], r["y"], r["cap"], r["u"], r["v"]) for r in worst}
+            # Last round's violators stay in, which keeps rounds from undoing
+            # each other; their state is known here already.
+            rows = {**kept, **fresh}
+            ids = list(rows)
+            x, y, cap, old, v = (np.array(c, dtype=float) for c in zip(*rows.values(), strict=True))
+            u, v, _ = solve_dual(
+                kernel.block(x, x), y, cap, old, v, self.tolerance / 2.0, self._budget(len(ids))
             )
-            # Rows still between their bounds are the ones worth keeping.
-            previous = [r["id"] for r in fresh][: WORKING_SET // 2]
-            state = durable(_apply_change(state, kernel, width, rows, x, u, u - old))
-        support = state.filter(F.abs("u") > _ALPHA_MIN)
+            solved = zip(ids, x, y, cap, u, v, strict=True)
+            kept = {i: tuple(rest) for i, *rest in solved if i in fresh}
+            state = table.advance(_apply_change(state, kernel, width, ids, x, u, u - old))
+        support = durable(state.filter(F.abs("u") > _ALPHA_MIN).select("id", "x", "u"))
+        table.close()
         n_support = support.count()
         if n_support == 0:
             raise ValueError("no support vectors found")
@@ -397,19 +392,21 @@ class SVC:
         return replace(model, support=durable(support.select("x", F.col("u").alias("dual"), chunk)))
 
 
-def _apply_change(state, kernel, width, rows, x, u, change) -> DataFrame:
-    moved = np.abs(change) > 0.0
+def _apply_change(state, kernel, width, ids, x, u, change) -> DataFrame:
+    moved = np.flatnonzero(change)
     vectors, delta = x[moved], change[moved]
-    weight = {int(r["id"]): float(v) for r, v in zip(rows, u, strict=True)}
+    order = moved[np.argsort(np.array(ids)[moved])]
+    moved_ids, moved_u = np.array(ids, dtype=np.int64)[order], u[order]
 
     def run(batches):
         for batch in batches:
             block, _ = arrow_matrix(batch.column("x"), width)
             v = batch.column("v").to_numpy() - kernel.block(block, vectors) @ delta
             new = batch.column("u").to_numpy().copy()
-            for i, key in enumerate(batch.column("id").to_pylist()):
-                if key in weight:
-                    new[i] = weight[key]
+            keys = batch.column("id").to_numpy()
+            spot = np.minimum(np.searchsorted(moved_ids, keys), len(moved_ids) - 1)
+            hit = moved_ids[spot] == keys
+            new[hit] = moved_u[spot[hit]]
             cols = {name: batch.column(name) for name in batch.schema.names}
             cols["u"], cols["v"] = pa.array(new), pa.array(v)
             yield pa.RecordBatch.from_pydict(cols)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramspan.plans.skew import hot_keys, skew_join
-from gramspan.session import durable
+from gramspan.session import RollingTable, durable
 
 # Edges (16 bytes each) up to which the last step runs on the driver.
 DRIVER_EDGES = 100_000
@@ -64,10 +64,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if not len(nodes):
             return edges.sparkSession.createDataFrame([], "node long, label long")
         return edges.sparkSession.createDataFrame(out)
-    stars = forest
-    before = None
+    table = RollingTable(edges.sparkSession)
+    stars, before = forest, None
     while True:
-        stars = durable(_small_star(_large_star(stars, count), count))
+        stars = table.advance(_small_star(_large_star(stars, count), count))
         r = stars.agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"),
@@ -76,6 +76,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if after == before:
             break
         before, count = after, r["n"]
+    stars = durable(stars)
+    table.close()
     roots = stars.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
 

@@ -21,8 +21,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gramspan.functions import linear
+from gramspan.plans.gram import moments
 from gramspan.plans.skew import hot_keys, skew_join
 from gramspan.session import durable
+from gramspan.sources import Features
 
 # Widest input handled with full-dimensional cells.
 GRID_WIDTH = 3
@@ -56,6 +59,12 @@ def box_range(metric: str, alo, ahi, blo, bhi) -> tuple[Column, Column]:
     return _combine(metric, near), _combine(metric, far)
 
 
+def _steps(offsets) -> Column:
+    """A literal array of offsets, written as text to build it in one call."""
+    rows = ", ".join("array(" + ", ".join(f"{v}L" for v in o) + ")" for o in offsets)
+    return F.expr(f"array({rows})")
+
+
 # --- grid -----------------------------------------------------------------
 
 
@@ -111,8 +120,7 @@ class Grid:
         offs = self.offsets()
         if half:
             offs = [o for o in offs if o > (0,) * self.d]
-        steps = F.array(*[F.array(*[F.lit(v).cast("long") for v in o]) for o in offs])
-        left = self.prefixed(a, "a_", a.columns).withColumn("_o", F.explode(steps))
+        left = self.prefixed(a, "a_", a.columns).withColumn("_o", F.explode(_steps(offs)))
         left = left.withColumns(
             {
                 "b_" + c: F.col("a_" + c) + F.get("_o", j)
@@ -138,24 +146,24 @@ class Blocks:
     """Blocks of bounded size over ``points`` (``id``, ``x``), and which pairs
     of blocks to compare.
 
-    Coarse cells of side ``eps`` over the widest coordinates decide which
-    blocks can hold points within ``eps``, as a gap in one coordinate never
-    exceeds the distance. A crowded cell becomes as many blocks as it needs.
+    Coarse cells of side ``eps`` along the principal directions decide which
+    blocks can hold points within ``eps``: a projection on a unit vector never
+    lengthens a distance, in either metric. A crowded cell becomes as many
+    blocks as it needs.
     """
 
     def __init__(self, points: DataFrame, d: int, eps: float):
-        ranges = points.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.min(F.get("x", j)).alias(f"lo{j}") for j in range(d)],
-            *[F.max(F.get("x", j)).alias(f"hi{j}") for j in range(d)],
-        ).head()
-        spread = [ranges[f"hi{j}"] - ranges[f"lo{j}"] for j in range(d)]
-        axes = sorted(range(d), key=lambda j: (-spread[j], j))[:GRID_WIDTH]
+        whole = moments(points, Features(("x",), d, True))
+        _, axes = np.linalg.eigh(whole.centered())
+        axes = axes.T[::-1][:GRID_WIDTH]
         cells = [f"c{i}" for i in range(len(axes))]
+        # Coordinates along unit vectors; the slack absorbs their rounding.
         placed = points.withColumns(
             {
-                c: F.floor((F.get("x", j) - F.lit(ranges[f"lo{j}"])) / F.lit(eps)).cast("long")
-                for c, j in zip(cells, axes, strict=True)
+                c: F.floor(
+                    linear(F.col("x"), axis, -float(axis @ whole.mean)) / F.lit(eps * (1 + 1e-6))
+                ).cast("long")
+                for c, axis in zip(cells, axes, strict=True)
             }
         )
         counts = placed.groupBy(*cells).agg(F.count(F.lit(1)).alias("size"))
@@ -168,14 +176,13 @@ class Blocks:
                 "block", F.monotonically_increasing_id()
             )
         )
-        hot = hot_keys(counts, cells, "size", ranges["n"])
+        hot = hot_keys(counts, cells, "size", whole.n)
         split = skew_join(placed, counts.select(*cells, "parts"), cells, hot).withColumn(
             "part", F.pmod(F.xxhash64("id"), F.col("parts"))
         )
         self.points = split.join(blocks, [*cells, "part"]).drop(*cells, "part", "parts")
         near = list(itertools.product((-1, 0, 1), repeat=len(cells)))
-        steps = F.array(*[F.array(*[F.lit(v).cast("long") for v in o]) for o in near])
-        left = blocks.select(F.col("block").alias("a"), *cells, F.explode(steps).alias("_o"))
+        left = blocks.select(F.col("block").alias("a"), *cells, F.explode(_steps(near)).alias("_o"))
         left = left.withColumns({c: F.col(c) + F.get("_o", i) for i, c in enumerate(cells)})
         right = blocks.select(F.col("block").alias("b"), *cells)
         self.pairs = durable(left.join(right, cells).filter("a <= b").select("a", "b"))
@@ -213,8 +220,11 @@ def pairwise_within(
         for i, row in enumerate(a):
             out[i] = np.abs(b - row).sum(axis=1) <= eps
         return out
-    aa, bb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
-    sq = aa[:, None] + bb[None, :] - 2.0 * (a @ b.T)
+    # Near the origin the product loses the fewest digits.
+    center = a.mean(axis=0) if len(a) else 0.0
+    p, q = a - center, b - center
+    aa, bb = np.einsum("ij,ij->i", p, p), np.einsum("ij,ij->i", q, q)
+    sq = aa[:, None] + bb[None, :] - 2.0 * (p @ q.T)
     limit = eps * eps
     slack = 1e-10 * (aa.max(initial=0.0) + bb.max(initial=0.0) + limit)
     out = sq <= limit

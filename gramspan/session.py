@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,33 @@ def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class RollingTable:
+    """The state of a loop, as one table that each round replaces.
+
+    A round is written in full before the one it was computed from is removed,
+    so the loop holds at most two copies and never grows a lineage.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+        self.round = 0
+
+    def advance(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.round}"
+        df.write.parquet(path)
+        self.round += 1
+        if self.round > 1:
+            self._remove(f"{self.folder}/{self.round - 2}")
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _remove(self, path: str) -> None:
+        jvm = self.spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+    def close(self) -> None:
+        """Remove what is left; nothing may read the state afterwards."""
+        self._remove(self.folder)

@@ -14,8 +14,8 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("gramspan-tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.default.parallelism", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         # Tiny inputs: compiling plans would take longer than running them.
         .config("spark.sql.codegen.wholeStage", "false")
