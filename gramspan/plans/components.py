@@ -1,6 +1,6 @@
 """Connected components of an edge table.
 
-Edges are first reduced to star forests inside each Arrow batch. What is left
+Edges are first reduced to star forests inside each task. What is left
 either fits a fixed small bound, or goes through alternating large-star and
 small-star rounds until every node points at the least node of its component.
 """
@@ -16,7 +16,9 @@ from gramspan.plans.skew import hot_keys, skew_join
 from gramspan.session import RollingTable, durable
 
 # Edges (16 bytes each) up to which the last step runs on the driver.
-DRIVER_EDGES = 100_000
+DRIVER_EDGES = 1_000_000
+# Edges a task holds while reducing its part.
+TASK_EDGES = 1_000_000
 
 
 def least_node(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,10 +44,26 @@ def least_node(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _forest(batches):
-    for batch in batches:
-        nodes, roots = least_node(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+    """Replace a task's edges by star edges, a bounded buffer at a time."""
+
+    def reduce(parts):
+        a, b = (np.concatenate(side) for side in zip(*parts, strict=True))
+        nodes, roots = least_node(a, b)
         inner = nodes != roots
-        yield pa.RecordBatch.from_pydict({"a": pa.array(nodes[inner]), "b": pa.array(roots[inner])})
+        return nodes[inner], roots[inner]
+
+    parts, held = [], 0
+    for batch in batches:
+        parts.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        held += batch.num_rows
+        if held > 2 * TASK_EDGES:
+            parts = [reduce(parts)]
+            held = len(parts[0][0])
+            if held > TASK_EDGES:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in parts[0]], ["a", "b"])
+                parts, held = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in reduce(parts)], ["a", "b"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -58,11 +76,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     forest = durable(pairs.filter("a != b").mapInArrow(_forest, "a long, b long").distinct())
     count = forest.count()
     if count <= DRIVER_EDGES:
-        table = forest.toPandas()
+        if not count:
+            return edges.sparkSession.createDataFrame([], "node long, label long")
+        table = forest.toArrow()
         nodes, roots = least_node(table["a"].to_numpy(), table["b"].to_numpy())
         out = pa.table({"node": pa.array(nodes, pa.int64()), "label": pa.array(roots, pa.int64())})
-        if not len(nodes):
-            return edges.sparkSession.createDataFrame([], "node long, label long")
         return edges.sparkSession.createDataFrame(out)
     table = RollingTable(edges.sparkSession)
     stars, before = forest, None
