@@ -1,4 +1,4 @@
-from gramspan.operators.dbscan import DBSCAN, dbscan_sweep
+from gramspan.operators.dbscan import DBSCAN, dbscan_sweep, region_query
 from gramspan.operators.decomposition import LDA, PCA, TruncatedSVD, reconstruction_comparison
 from gramspan.operators.kmeans import KMeans, cluster_sizes, kmeans_sweep
 from gramspan.operators.linear import (
@@ -37,6 +37,7 @@ __all__ = [
     "kernel_sweep",
     "kmeans_sweep",
     "reconstruction_comparison",
+    "region_query",
     "regularization_path",
     "svc_sweep",
 ]

@@ -9,7 +9,7 @@ These rules do not depend on the order in which points are visited.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gramspan.functions import euclidean, manhattan
 from gramspan.plans.components import connected_components, least_node
 from gramspan.plans.gram import arrow_matrix
 from gramspan.plans.neighbours import (
@@ -155,19 +156,23 @@ class DBSCAN:
             core, clusters.select(*grid.cell, "cluster"), grid.cell, hot
         ).select("id", "cluster", F.lit(True).alias("is_core"))
         rest = marked.filter(~F.col("is_core"))
-        border = self._border(grid, rest, core, clusters, hot)
+        border = self._border(grid, rest, cells.filter(~F.col("dense")), core, clusters, hot)
         rest_labels = rest.join(border, "id", "left").select(
             "id", F.coalesce("cluster", F.lit(-1.0)).alias("cluster"), F.lit(False).alias("is_core")
         )
         return core_labels.unionByName(rest_labels)
 
-    def _reach(self, grid: Grid, queries: DataFrame, targets: DataFrame) -> DataFrame:
+    def _reach(
+        self, grid: Grid, queries: DataFrame, cells: DataFrame, targets: DataFrame
+    ) -> DataFrame:
         """Each query point with every target cell its radius touches.
 
+        ``cells`` are the cells of the query points, with boxes around them.
+
         ``far2`` tells whether the whole cell is in reach. Query points come
         from cells with few points, so they may meet each neighbour cell.
         """
-        boxes = queries.groupBy(*grid.cell).agg(*grid.boxes())
+        boxes = cells.select(*grid.cell, *grid.lo, *grid.hi)
         pairs = grid.neighbour_pairs(boxes, targets)
         keep = [c for c in pairs.columns if c.startswith("b_")]
         pairs = pairs.select(*["a_" + c for c in grid.cell], *keep)
@@ -192,7 +197,8 @@ class DBSCAN:
     def _sparse_core(self, grid: Grid, tagged: DataFrame, cells: DataFrame, hot) -> DataFrame:
         """Ids of core points outside dense cells."""
         targets = cells.select(*grid.cell, *grid.lo, *grid.hi, "rows")
-        met = durable(self._reach(grid, tagged.filter(~F.col("dense")), targets))
+        sparse = ~F.col("dense")
+        met = durable(self._reach(grid, tagged.filter(sparse), cells.filter(sparse), targets))
         sums = met.groupBy("id").agg(
             F.sum(F.when(F.col("far2"), F.col("b_rows")).otherwise(0)).alias("sure"),
             F.sum("b_rows").alias("most"),
@@ -298,14 +304,19 @@ class DBSCAN:
                 break
             level += 1
             side = grid.side / cut**level
+            # Sides shrink by powers of two, so a box lies in exactly one parent.
             placed = points.withColumns(
-                {s: F.floor(F.col(x) / F.lit(side)).cast("long") for s, x in zip(sub, grid.x)}
+                {
+                    s: F.floor(F.col(x) / F.lit(side)).cast("long")
+                    for s, x in zip(sub, grid.x, strict=True)
+                }
             )
             if level == 1:
                 above = {p: F.lit(0).cast("long") for p in parent}
             else:
                 above = {
-                    p: F.floor(F.col(s) / F.lit(cut)).cast("long") for p, s in zip(parent, sub)
+                    p: F.floor(F.col(s) / F.lit(cut)).cast("long")
+                    for p, s in zip(parent, sub, strict=True)
                 }
             boxes = durable(
                 placed.groupBy("cid", *sub)
@@ -315,7 +326,9 @@ class DBSCAN:
             crowded = boxes
             todo = todo.drop("a_size", "b_size")
             for tag in "ab":
-                todo = todo.withColumnsRenamed({f"{tag}_{s}": f"{tag}_{p}" for s, p in zip(sub, parent)})
+                todo = todo.withColumnsRenamed(
+                    {f"{tag}_{s}": f"{tag}_{p}" for s, p in zip(sub, parent, strict=True)}
+                )
             for tag in "ab":
                 named = boxes.withColumnsRenamed({c: f"{tag}_{c}" for c in boxes.columns})
                 todo = todo.join(named, [f"{tag}_cid", *[f"{tag}_{p}" for p in parent]])
@@ -343,10 +356,10 @@ class DBSCAN:
             todo = todo.join(settled, ["a_cid", "b_cid"], "left_anti").drop("far")
         return reduce(DataFrame.unionByName, found)
 
-    def _border(self, grid: Grid, rest, core, clusters, hot) -> DataFrame:
+    def _border(self, grid: Grid, rest, cells, core, clusters, hot) -> DataFrame:
         """Lowest cluster within reach of each non-core point that has one."""
         targets = clusters.select(*grid.cell, *grid.lo, *grid.hi, "cluster")
-        met = durable(self._reach(grid, rest, targets))
+        met = durable(self._reach(grid, rest, cells, targets))
         sure = met.filter("far2").groupBy("id").agg(F.min("b_cluster").alias("sure"))
         # Only a partly reached cell of a lower cluster can change the answer.
         maybe = met.join(sure, "id", "left").filter(
@@ -391,13 +404,14 @@ class DBSCAN:
         def touch(left, right):
             close = within(left, right)
             other = left if right is None else right
+            far = np.iinfo(np.int64).max
             out_ids, out_labels = [], []
             for mine, theirs, hit in ((left, other, close), (other, left, close.T)):
                 border = ~values(mine, "is_core")
                 core = values(theirs, "is_core")
-                label = np.where(core, values(theirs, "label"), np.iinfo(np.int64).max)
-                best = np.where(hit, label[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-                keep = border & (best < np.iinfo(np.int64).max)
+                label = np.where(core, values(theirs, "label"), far)
+                best = np.where(hit, label[None, :], far).min(axis=1, initial=far)
+                keep = border & (best < far)
                 out_ids.append(values(mine, "id")[keep])
                 out_labels.append(best[keep])
             return pa.table({"id": np.concatenate(out_ids), "label": np.concatenate(out_labels)})
@@ -437,6 +451,16 @@ class DBSCAN:
         )
 
 
+def region_query(
+    ds: TabularDataset, point: Sequence[float], eps: float, metric: str = "euclidean"
+) -> DataFrame:
+    """The rows within ``eps`` of one point, its own copies included."""
+    if len(point) != ds.features.width:
+        raise ValueError(f"the point must have {ds.features.width} coordinates")
+    distance = {"euclidean": euclidean, "manhattan": manhattan}[metric]
+    return ds.df.filter(distance(ds.features.operand(), list(point)) <= F.lit(float(eps)))
+
+
 def index_rows(ds: TabularDataset) -> DataFrame:
     """The rows of ``ds`` with their position and feature vector."""
     if not ds.order_by:

@@ -11,11 +11,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gramspan.session import durable
 
 # monotonically_increasing_id keeps the partition above this bit.
 _PARTITION_SHIFT = 33
+# Key types whose quantiles order like the key itself.
+_QUANTILE_TYPES = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Quantile error is 1 / accuracy of the rows; the bracket is twice as wide.
+_ACCURACY = 10_000
+_BRACKET = 2.0 / _ACCURACY
 # Positions below this are fetched with a distributed top-k.
 TOP_K_LIMIT = 10_000
 
@@ -60,12 +66,42 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_idx"
 
 
 class OrderedKeys:
-    """The order of a frame, built from its key columns alone."""
+    """The order of a frame, built from its key columns alone.
 
-    def __init__(self, df: DataFrame, order_by: Sequence[str]):
+    ``near`` is the share of rows before the position of interest. When the
+    first key column has quantiles, only the rows around that quantile are
+    sorted: one scan finds the bracket, one counts it, and the sort sees a
+    small part of the keys (or the rows of one very frequent value).
+    """
+
+    def __init__(self, df: DataFrame, order_by: Sequence[str], near: float | None = None):
         self.df = df
         self.order_by = list(order_by)
-        self.keys, self.n = _numbered(df.select(*self.order_by), order_by, "_pos")
+        keys = df.select(*self.order_by)
+        lead = F.col(self.order_by[0])
+        self.n = self.first = self.last = None
+        if near is not None and isinstance(df.schema[self.order_by[0]].dataType, _QUANTILE_TYPES):
+            share = [max(near - _BRACKET, 0.0), min(near + _BRACKET, 1.0)]
+            seen = keys.agg(
+                F.count(F.lit(1)).alias("n"),
+                F.count(lead).alias("filled"),
+                F.percentile_approx(lead, share, _ACCURACY).alias("ends"),
+            ).head()
+            self.n = seen["n"]
+            # Nulls come first in the order but have no quantile.
+            if self.n and seen["filled"] == self.n:
+                self._bracket(keys, lead, *seen["ends"])
+        if self.first is None:
+            self.keys, self.n = _numbered(keys, self.order_by, "_pos")
+            self.first, self.last = 0, self.n
+
+    def _bracket(self, keys: DataFrame, lead, low, high) -> None:
+        kind = self.df.schema[self.order_by[0]].dataType
+        low, high = F.lit(low).cast(kind), F.lit(high).cast(kind)
+        before = keys.filter(lead < low).count()
+        inside, size = _numbered(keys.filter(lead.between(low, high)), self.order_by, "_pos")
+        self.keys = inside.withColumn("_pos", F.col("_pos") + F.lit(before))
+        self.first, self.last = before, before + size
 
     def cut(self, position: int) -> tuple[DataFrame, DataFrame]:
         """Rows before ``position`` and rows from it on."""
@@ -73,6 +109,9 @@ class OrderedKeys:
             return self.df.filter(F.lit(False)), self.df
         if position >= self.n:
             return self.df, self.df.filter(F.lit(False))
+        if not (self.first < position < self.last or (self.first, self.last) == (0, self.n)):
+            # The quantile was further off than promised: sort all keys.
+            return OrderedKeys(self.df, self.order_by).cut(position)
         edge = self.keys.filter(F.col("_pos").isin(position - 1, position)).orderBy("_pos").collect()
         last, first = (tuple(r[c] for c in self.order_by) for r in edge)
         if last == first:

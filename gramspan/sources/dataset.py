@@ -126,7 +126,7 @@ class TabularDataset:
     ) -> tuple[TabularDataset, TabularDataset]:
         """First rows train, last ``round(n * test_size)`` rows test.
 
-        Only the key columns are sorted. The two sides are plain range filters
+        Only key columns around the cut are sorted. The two sides are plain range filters
         on the key, so they are pushed into the scan and copy no data.
         ``shuffle=True`` gives a random split of about that proportion instead.
         """
@@ -137,7 +137,7 @@ class TabularDataset:
             return self.with_df(train), self.with_df(test)
         if not self.order_by:
             raise ValueError("an ordered split needs order_by")
-        ordered = OrderedKeys(self.df, self.order_by)
+        ordered = OrderedKeys(self.df, self.order_by, near=1.0 - test_size)
         n_test = math.floor(ordered.n * test_size + 0.5)
         train, test = ordered.cut(ordered.n - n_test)
         return self.with_df(train), self.with_df(test)

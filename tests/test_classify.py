@@ -16,7 +16,7 @@ PASSED = [0, 0, 0, 1, 1, 1, 1, 1]
 @pytest.mark.parametrize("intercept", [True, False])
 def test_logistic_matches_plain_descent(spark, monkeypatch, cells, intercept):
     monkeypatch.setattr(logistic_module, "DRIVER_CELLS", cells)
-    steps = 1000 if cells else 25
+    steps = 1000 if cells else 12
     ds = from_rows(spark, HOURS * 3, PASSED * 3)
     m = LogisticRegression(max_iterations=steps, fit_intercept=intercept).fit(ds)
     want = brute.logistic_gd(HOURS * 3, PASSED * 3, steps=steps, intercept=intercept)

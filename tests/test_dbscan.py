@@ -3,7 +3,7 @@ import numpy as np
 import pytest
 
 from gramspan.operators import dbscan as module
-from gramspan.operators.dbscan import DBSCAN, dbscan_sweep
+from gramspan.operators.dbscan import DBSCAN, dbscan_sweep, region_query
 from gramspan.plans import components, neighbours, skew
 from gramspan.sources import TabularDataset, from_rows
 
@@ -115,6 +115,15 @@ def test_sweep_and_errors(spark):
         DBSCAN(1, 2).fit(ds).predict(ds.df)
 
 
+def test_region_query(spark):
+    ds = from_rows(spark, [[0, 0], [1, 0], [1, 1], [3, 3]])
+    for metric, want in (("euclidean", [0, 1]), ("manhattan", [0, 1])):
+        got = region_query(ds, [0, 0], 1.0, metric).collect()
+        assert sorted(r["row_idx"] for r in got) == want
+    with pytest.raises(ValueError):
+        region_query(ds, [0.0], 1.0)
+
+
 def test_component_rounds_on_a_long_chain(spark, monkeypatch):
     monkeypatch.setattr(components, "DRIVER_EDGES", 0)
     rng = np.random.default_rng(1)

@@ -63,6 +63,21 @@ def test_split_of_a_key_with_ties_and_nulls(spark):
     assert sorted(r["v"] for r in test.collect()) == [3, 4, 5, 6]
 
 
+@pytest.mark.parametrize("near", [0.5, 0.1, 0.98])
+def test_bracketed_cut_of_a_skewed_key(spark, near):
+    # A third of the rows share one value of the leading key.
+    k = F.when(F.col("id") % 3 == 0, F.lit(700)).otherwise(F.col("id"))
+    df = spark.range(3000).select(k.alias("k"), F.xxhash64("id").alias("t"))
+    want = sorted((r["k"], r["t"]) for r in df.collect())
+    ordered = OrderedKeys(df, ["k", "t"], near=near)
+    assert ordered.last - ordered.first < 3000
+    # A wrong hint must not change the answer.
+    for position in (int(3000 * near), 17):
+        before, after = ordered.cut(position)
+        assert sorted(map(tuple, before.collect())) == want[:position]
+        assert after.count() == 3000 - position
+
+
 def test_split_filter_reaches_the_scan(spark, sf):
     orders = TabularDataset(
         read_table(spark, sf, "orders"), ["o_totalprice"], order_by=["o_orderkey"]
