@@ -453,7 +453,10 @@ def _bias(u, v, y, cap) -> float:
 
 def svc_sweep(train: TabularDataset, test: TabularDataset, models: Iterable[tuple[str, SVC]]) -> DataFrame:
     """``model, train_accuracy, test_accuracy, n_support`` per setting."""
-    held = [d.df.persist(StorageLevel.MEMORY_AND_DISK) for d in (train, test)]
+    # Only what the fits read is held; both sides may be the same frame.
+    slim = [d.with_df(d.df.select(*d.features.names, d.label)) for d in (train, test)]
+    held = [d.df.persist(StorageLevel.MEMORY_AND_DISK) for d in slim]
+    train, test = slim
     rows = []
     try:
         for name, svc in models:

@@ -23,7 +23,7 @@ _QUANTILE_TYPES = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T
 _ACCURACY = 10_000
 _BRACKET = 2.0 / _ACCURACY
 # Positions below this are fetched with a distributed top-k.
-TOP_K_LIMIT = 10_000
+TOP_K_LIMIT = 2_000
 
 
 def _numbered(df: DataFrame, order_by: Sequence[str], name: str) -> tuple[DataFrame, int]:

@@ -152,3 +152,11 @@ def test_empty_and_missing_label(reg):
         LinearRegression().fit(reg.with_df(reg.df.limit(0)))
     with pytest.raises(ValueError):
         Ridge().fit(TabularDataset(reg.df, ["x0"]))
+
+
+def test_names_are_available_on_the_package():
+    import gramspan
+
+    assert gramspan.Ridge is Ridge and gramspan.TabularDataset is TabularDataset
+    with pytest.raises(AttributeError):
+        gramspan.Nothing
