@@ -386,7 +386,7 @@ p AS (SELECT y, my + wa * (a - ma) + wb * (b - mb) AS p FROM s, w WHERE NOT trai
 SELECT count(*) AS n, round(avg((y - p) * (y - p)), 6) + 0.0 AS mse, round(avg(abs(y - p)), 6) + 0.0 AS mae,
   round(1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), 6) + 0.0 AS r2 FROM p"""
 )
-def supervised_pipeline(spark, sf):
+def split_scale_fit_score(spark, sf):
     """Split, standardise on the training side, fit, evaluate on the test side."""
     train, test = _signal(spark, sf).train_test_split(0.2)
     scaler, model = ScaledRegression(LinearRegression()).fit(train)
@@ -1312,7 +1312,7 @@ def streaming_score(spark, sf):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: split, standardise, fit, predict and evaluate on lineitem."""
-    return supervised_pipeline(spark, "/root/testdata/sf0.001")
+    return split_scale_fit_score(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
