@@ -1307,6 +1307,21 @@ def streaming_score(spark, sf):
     return scored
 
 
+# --- training-data operators -------------------------------------------------
+
+try:
+    import corpus_pipeline
+    from gramspan.llm import queries as _llm
+except ImportError:
+    # The subpackage and its pipeline can be taken away; everything else still works.
+    pass
+else:
+    _QUERIES.update(_llm.QUERIES, pipeline=corpus_pipeline.run)
+    _ORACLES.update(_llm.ORACLES)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # --- contract ----------------------------------------------------------------
 
 
