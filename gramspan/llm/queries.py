@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gramspan.llm.mixing import mix_sources
 from gramspan.llm.warc import archive_round_trip
 from gramspan.sources import read_table
 
@@ -23,6 +24,47 @@ def query(sql: str | None = None):
     return register
 
 
+MIX_SQL = """WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+    ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, '')), 1, 10))::BIGINT // 16 AS bin FROM {docs}),
+src AS (
+  SELECT source, s, w, 2.0 * s AS cap, (row_number() OVER (ORDER BY 2.0 * s / w, source NULLS LAST)) AS k FROM (
+    SELECT source, sum(size)::BIGINT AS s,
+      [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1]::DOUBLE AS w
+    FROM sized GROUP BY source)),
+held AS (
+  SELECT k, (1.5 * (SELECT sum(s) FROM src) - coalesce(sum(cap) OVER before, 0)) / sum(w) OVER rest AS level, cap / w AS own
+  FROM src WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    rest AS (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+fit AS (SELECT coalesce(min(k), 9223372036854775807) AS k0, arg_min(level, k)::DOUBLE AS level FROM held WHERE own > level),
+goal AS (
+  SELECT source, s, CASE WHEN k < k0 THEN cap ELSE level * w END::DOUBLE AS target FROM src, fit),
+need AS (
+  SELECT *, CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END AS whole,
+    target - CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END * s AS missing FROM goal),
+bins AS (
+  SELECT source, bin, sum(size) AS held, sum(sum(size)) OVER (PARTITION BY source ORDER BY bin) AS upto
+  FROM sized GROUP BY source, bin),
+cut AS (
+  SELECT n.source, b.bin + CASE WHEN 2 * (missing - (upto - held)) >= held THEN 1 ELSE 0 END AS cut
+  FROM need n JOIN bins b ON n.source IS NOT DISTINCT FROM b.source
+  WHERE missing > 0 AND upto - held < missing AND upto >= missing)
+"""
+
+MIX_COLUMNS = """(n.whole + CASE WHEN d.bin < c.cut THEN 1 ELSE 0 END)::BIGINT"""
+MIX_JOINS = """FROM sized d JOIN need n ON d.source IS NOT DISTINCT FROM n.source
+  LEFT JOIN cut c ON d.source IS NOT DISTINCT FROM c.source"""
+
+
+@query(
+    MIX_SQL.format(docs="documents")
+    + f"SELECT d.doc_id, d.size, n.s AS source_size, n.target, {MIX_COLUMNS} * d.size AS taken {MIX_JOINS}"
+)
+def op6_mixing(spark, sf):
+    mixed = mix_sources(read_table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query()
 def op7_warc(spark, sf):
     return archive_round_trip(read_table(spark, sf, "pages"))
