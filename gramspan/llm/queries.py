@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gramspan.llm.fingerprints import compare_with_next
 from gramspan.llm.mixing import mix_sources
 from gramspan.llm.warc import archive_round_trip
 from gramspan.sources import read_table
@@ -24,6 +25,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op5_fingerprints(spark, sf):
+    return compare_with_next(read_table(spark, sf, "documents"))
+
+
 MIX_SQL = """WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
     ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, '')), 1, 10))::BIGINT // 16 AS bin FROM {docs}),
