@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gramspan.llm.fingerprints import compare_with_next
 from gramspan.llm.mixing import mix_sources
+from gramspan.llm.quality import classify
 from gramspan.llm.warc import archive_round_trip
 from gramspan.sources import read_table
 
@@ -25,6 +26,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op3_quality(spark, sf):
+    return classify(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 @query()
 def op5_fingerprints(spark, sf):
     return compare_with_next(read_table(spark, sf, "documents"))
