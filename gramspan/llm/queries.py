@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gramspan.llm.fingerprints import compare_with_next
+from gramspan.llm.lines import drop_recurring_lines
 from gramspan.llm.mixing import mix_sources
 from gramspan.llm.quality import classify
 from gramspan.llm.warc import archive_round_trip
@@ -80,3 +82,10 @@ def op6_mixing(spark, sf):
 @query()
 def op7_warc(spark, sf):
     return archive_round_trip(read_table(spark, sf, "pages"))
+
+
+@query()
+def op10_lines(spark, sf):
+    kept = drop_recurring_lines(read_table(spark, sf, "documents").select("doc_id", "text"))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
