@@ -11,6 +11,7 @@ from gramspan.llm.fingerprints import compare_with_next
 from gramspan.llm.lines import drop_recurring_lines
 from gramspan.llm.mixing import mix_sources
 from gramspan.llm.quality import classify
+from gramspan.llm.repeats import remove_repeats
 from gramspan.llm.warc import archive_round_trip
 from gramspan.sources import read_table
 
@@ -89,3 +90,8 @@ def op10_lines(spark, sf):
     kept = drop_recurring_lines(read_table(spark, sf, "documents").select("doc_id", "text"))
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(text, 256).alias("kept_sha256"))
+
+
+@query()
+def op1_substrings(spark, sf):
+    return remove_repeats(read_table(spark, sf, "documents"))
