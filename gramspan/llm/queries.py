@@ -12,6 +12,7 @@ from gramspan.llm.lines import drop_recurring_lines
 from gramspan.llm.mixing import mix_sources
 from gramspan.llm.quality import classify
 from gramspan.llm.repeats import remove_repeats
+from gramspan.llm.suffixes import remove_earlier_strings
 from gramspan.llm.warc import archive_round_trip
 from gramspan.sources import read_table
 
@@ -95,3 +96,8 @@ def op10_lines(spark, sf):
 @query()
 def op1_substrings(spark, sf):
     return remove_repeats(read_table(spark, sf, "documents"))
+
+
+@query()
+def op2_suffixes(spark, sf):
+    return remove_earlier_strings(read_table(spark, sf, "documents"))
