@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramspan.llm.fingerprints import compare_with_next
+from gramspan.llm.jaccard import Similarity, near_duplicates
 from gramspan.llm.lines import drop_recurring_lines
 from gramspan.llm.mixing import mix_sources
 from gramspan.llm.quality import classify
@@ -101,3 +102,8 @@ def op1_substrings(spark, sf):
 @query()
 def op2_suffixes(spark, sf):
     return remove_earlier_strings(read_table(spark, sf, "documents"))
+
+
+@query()
+def op8_jaccard(spark, sf):
+    return near_duplicates(read_table(spark, sf, "documents"), Similarity(words=4, percent=85))
