@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gramspan.llm.decontaminate import find_leaks
 from gramspan.llm.fingerprints import compare_with_next
 from gramspan.llm.jaccard import Similarity, near_duplicates
 from gramspan.llm.lines import drop_recurring_lines
@@ -107,3 +108,8 @@ def op2_suffixes(spark, sf):
 @query()
 def op8_jaccard(spark, sf):
     return near_duplicates(read_table(spark, sf, "documents"), Similarity(words=4, percent=85))
+
+
+@query()
+def op4_decontamination(spark, sf):
+    return find_leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
