@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gramspan.llm.decontaminate import find_leaks
 from gramspan.llm.fingerprints import compare_with_next
 from gramspan.llm.jaccard import Similarity, near_duplicates
+from gramspan.llm.licenses import page_files, scan
 from gramspan.llm.lines import drop_recurring_lines
 from gramspan.llm.mixing import mix_sources
 from gramspan.llm.quality import classify
@@ -113,3 +114,8 @@ def op8_jaccard(spark, sf):
 @query()
 def op4_decontamination(spark, sf):
     return find_leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+@query()
+def op9_licenses(spark, sf):
+    return scan(page_files(read_table(spark, sf, "pages"))).withColumnRenamed("file", "page_id")
