@@ -23,11 +23,10 @@ HASH_BITS, LEVEL_BITS, LEVELS = 40, 12, 3
 
 
 def document_sizes(docs: DataFrame, seed: str) -> DataFrame:
-    """``doc_id, source, size, place``: words of each document and its seeded hash."""
+    """``docs`` with ``size, place``: words of each document and its seeded hash."""
     name = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return docs.select(
-        "doc_id",
-        "source",
+        "*",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.conv(F.substring(F.md5(name), 1, HASH_BITS // 4), 16, 10).cast("long").alias("place"),
     )
@@ -110,23 +109,15 @@ def fractional_cut(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
-def mix_sources(
+def mix_rule(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
     total_ratio: float = 1.5,
     max_epochs: float = 2.0,
     seed: str = "mix-1",
-) -> DataFrame:
-    """What a mix takes of each row of ``docs`` (``doc_id, source, text``).
-
-    Returns ``doc_id, source, size, source_size, target, repeats, taken``.
-    Sizes are words; a null or blank text has size 0 and takes nothing. A null
-    source is a source of its own, after the others. Rows that repeat a doc_id
-    share its hash and are taken together; a null doc_id counts as one id.
-    Extra columns are ignored. Without words every target is 0. The draw
-    depends on ``seed`` and doc_id alone, so reruns agree.
-    """
-    sizes = stored(document_sizes(docs, seed), "mix-sizes")
+) -> tuple[DataFrame, DataFrame]:
+    """Sizes of the documents, and per source (``of``) its target, whole repetitions and cut."""
+    sizes = stored(document_sizes(docs, seed).select("doc_id", "source", "size", "place"), "mix-sizes")
     sources = source_weights(sizes, weights)
     total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).head()["n"]
     targets = fill(sources, total_ratio * total, max_epochs)
@@ -139,17 +130,38 @@ def mix_sources(
     rule = targets.join(cuts, targets.source.eqNullSafe(cuts.source), "left").select(
         targets.source.alias("of"), "source_size", "target", "whole", "cut"
     )
+    return sizes, rule
+
+
+def _draw(sized: DataFrame, rule: DataFrame) -> DataFrame:
     repeats = F.col("whole") + F.when(F.col("place") < F.col("cut"), 1).otherwise(0)
     return (
-        sizes.join(rule, sizes.source.eqNullSafe(rule.of))
+        sized.join(rule, sized.source.eqNullSafe(rule.of))
         .withColumn("repeats", repeats.cast("long"))
-        .select(
-            "doc_id",
-            "source",
-            "size",
-            "source_size",
-            "target",
-            "repeats",
-            (F.col("repeats") * F.col("size")).alias("taken"),
-        )
+        .withColumn("taken", F.col("repeats") * F.col("size"))
+        .drop("of", "whole", "cut", "place")
     )
+
+
+def mix_sources(docs: DataFrame, **options) -> DataFrame:
+    """What a mix takes of each row of ``docs`` (``doc_id, source, text``).
+
+    Returns ``doc_id, source, size, source_size, target, repeats, taken``.
+    Sizes are words; a null or blank text has size 0 and takes nothing. A null
+    source is a source of its own, after the others. Rows that repeat a doc_id
+    share its hash and are taken together; a null doc_id counts as one id.
+    Extra columns are ignored. Without words every target is 0. The draw
+    depends on the seed and doc_id alone, so reruns agree. The options are
+    those of ``mix_rule``.
+    """
+    return _draw(*mix_rule(docs, **options))
+
+
+def mixed_documents(docs: DataFrame, seed: str = "mix-1", **options) -> DataFrame:
+    """``docs`` with ``size, source_size, target, repeats, taken``; columns of these names are replaced.
+
+    The text is not moved: only the small table of sources is joined.
+    """
+    _, rule = mix_rule(docs, seed=seed, **options)
+    added = ("size", "place", "source_size", "target", "repeats", "taken")
+    return _draw(document_sizes(docs.select(*[c for c in docs.columns if c not in added]), seed), rule)
