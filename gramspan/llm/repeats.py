@@ -161,7 +161,7 @@ def _kept(body: bytes, words: list[bytes], gone: np.ndarray | None) -> str:
 
 _STATE = (
     "doc_id long, tag int, n_words long, n_removed long, kept_sha256 string, text binary, "
-    "w array<long>, v array<int>, p array<int>"
+    "w array<long>, v array<int>, p array<int>, m array<boolean>, sure array<int>"
 )
 
 
@@ -169,7 +169,8 @@ def _settle(docs: DataFrame, length: int, width: int) -> DataFrame:
     """One row per document: its result, or its candidate windows and its text.
 
     ``docs`` has ``doc_id, text, found, copy, leads``. ``w, v`` are two hashes of the
-    windows that start at ``p``.
+    windows that start at ``p``. Of windows that the block has several times, one
+    is shown to others, marked by ``m``; the rest are ``sure``.
     """
 
     def read(batches) -> Iterator[pa.RecordBatch]:
@@ -184,19 +185,32 @@ def _settle(docs: DataFrame, length: int, width: int) -> DataFrame:
                 ("w", pa.list_(pa.int64())),
                 ("v", pa.list_(pa.int32())),
                 ("p", pa.list_(pa.int32())),
+                ("m", pa.list_(pa.bool_())),
+                ("sure", pa.list_(pa.int32())),
             ]
         )
         for batch in batches:
             for part, body in blocks(batch):
                 x = Windows(body, width)
                 found = x.surviving(length, _lists(part.column(2)))
+                doc_ids, copies, leads = (part.column(i).to_pylist() for i in (0, 3, 4))
+                # Of equal texts, one shows its windows to the others.
+                shown = np.array([not c or bool(d) for c, d in zip(copies, leads, strict=True)])
                 starts = np.flatnonzero(found)
+                starts = starts[shown[x.block.owner[starts]]]
                 w = x.rolling.windows(width)[starts].view(np.int64)
                 v = (x.check.windows(width)[starts] >> np.uint64(33)).astype(np.int32)
+                order = np.lexsort((v, w))
+                new = np.ones(len(order), bool)
+                new[1:] = (w[order][1:] != w[order][:-1]) | (v[order][1:] != v[order][:-1])
+                first = np.flatnonzero(new)
+                many, sent = np.zeros(len(order), bool), np.zeros(len(order), bool)
+                sent[order[first]] = True
+                many[order] = np.repeat(np.diff(np.append(first, len(order))) > 1, np.diff(np.append(first, len(order))))
                 owner = x.block.owner[starts]
                 bounds = np.searchsorted(owner, np.arange(len(body) + 1))
+                place = (starts - x.block.word0[owner]).astype(np.int32)
                 rows = []
-                doc_ids, copies, leads = (part.column(i).to_pylist() for i in (0, 3, 4))
                 for i, text in enumerate(body):
                     n = int(x.block.n_words[i])
                     a, b = bounds[i], bounds[i + 1]
@@ -210,9 +224,9 @@ def _settle(docs: DataFrame, length: int, width: int) -> DataFrame:
                         row["kept_sha256"] = _kept(text, text.split(), None)
                     else:
                         row["text"] = text
-                    # Of equal texts, one shows its windows to the others.
-                    if a < b and (not copies[i] or leads[i]):
-                        row |= {"w": w[a:b], "v": v[a:b], "p": (starts[a:b] - x.block.word0[i]).astype(np.int32)}
+                    if a < b:
+                        to, rest = a + np.flatnonzero(sent[a:b]), a + np.flatnonzero(~sent[a:b])
+                        row |= {"w": w[to], "v": v[to], "p": place[to], "m": many[to], "sure": place[rest]}
                     rows.append(row)
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
@@ -244,8 +258,8 @@ def _finish(pending: DataFrame, width: int) -> DataFrame:
         )
         for batch in batches:
             rows = []
-            for doc_id, n, text, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                gone = covered(np.array(hits or (), np.int64), width, n)
+            for doc_id, n, text, hits, sure in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                gone = covered(np.array([*(hits or ()), *(sure or ())], np.int64), width, n)
                 rows.append((doc_id, n, int(gone.sum()), _kept(text, text.split(), gone)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
@@ -291,14 +305,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, first: int = (WIDTH + 1)
     )
     state = stored(_settle(known, before, width), "repeats-state")
     windows = state.filter("p is not null").select(
-        F.explode(F.arrays_zip("w", "v", "p")).alias("x"), "doc_id", "tag"
+        F.explode(F.arrays_zip("w", "v", "p", "m")).alias("x"), "doc_id", "tag"
     )
-    rows = windows.select("x.w", "x.v", "doc_id", "tag", "x.p")
-    hits = repeated_rows(rows, 2).groupBy("doc_id", "tag").agg(F.collect_list("p").alias("hits"))
+    rows = windows.select("x.w", "x.v", "doc_id", "tag", "x.p", "x.m")
+    hits = repeated_rows(rows, 2, 5).groupBy("doc_id", "tag").agg(F.collect_list("p").alias("hits"))
     hits = hits.select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), "hits")
-    open_rows = state.filter("text is not null").select("doc_id", "tag", "n_words", "text")
+    open_rows = state.filter("text is not null").select("doc_id", "tag", "n_words", "text", "sure")
     pending = open_rows.join(
         hits, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tag") == F.col("_t")), "left"
-    ).select("doc_id", "n_words", "text", "hits")
+    ).select("doc_id", "n_words", "text", "hits", "sure")
     settled = state.filter("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256")
     return settled.unionByName(_finish(pending, width))
