@@ -1,8 +1,8 @@
 """Connected components of an edge table.
 
-Edges are first reduced to star forests inside each task. What is left
-either fits a fixed small bound, or goes through alternating large-star and
-small-star rounds until every node points at the least node of its component.
+Edges are first reduced to star forests inside each task. What is left goes
+through alternating large-star and small-star rounds until every node points at
+the least node of its component. No edge reaches the driver.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from gramspan.plans.skew import hot_keys, skew_join
 from gramspan.session import RollingTable, durable
 
-# Edges (16 bytes each) up to which the last step runs on the driver.
-DRIVER_EDGES = 1_000_000
 # Edges a task holds while reducing its part.
 TASK_EDGES = 1_000_000
 
@@ -74,32 +72,29 @@ def connected_components(edges: DataFrame) -> DataFrame:
     a, b = edges.columns
     pairs = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
     forest = durable(pairs.filter("a != b").mapInArrow(_forest, "a long, b long").distinct())
-    count = forest.count()
-    if count <= DRIVER_EDGES:
-        if not count:
-            return edges.sparkSession.createDataFrame([], "node long, label long")
-        table = forest.toArrow()
-        nodes, roots = least_node(table["a"].to_numpy(), table["b"].to_numpy())
-        out = pa.table({"node": pa.array(nodes, pa.int64()), "label": pa.array(roots, pa.int64())})
-        return edges.sparkSession.createDataFrame(out)
     table = RollingTable(edges.sparkSession)
-    stars, before = forest, None
-    while True:
-        stars = table.advance(_small_star(_large_star(stars, count), count))
-        r = stars.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"),
-        ).head()
-        after = (r["n"], r["h"])
+    stars, before = forest, _fingerprint(forest)
+    while before[0]:
+        stars = table.advance(_small_star(_large_star(stars, before[0]), before[0]))
+        after = _fingerprint(stars)
         if after == before:
             break
-        before, count = after, r["n"]
+        before = after
     stars = durable(stars)
     table.close()
     roots = stars.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Number of edges and a sum that changes with any of them."""
+    r = edges.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"),
+    ).head()
+    return r["n"], r["h"]
+
+
 def _with_least(neighbours: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """Attach to each ``(u, v)`` the least of ``u`` and its neighbours."""
     least = neighbours.groupBy("u").agg(

@@ -81,7 +81,6 @@ def test_crowded_cells_are_refined(spark, monkeypatch):
 
 
 def test_distributed_paths_match(spark, monkeypatch):
-    monkeypatch.setattr(components, "DRIVER_EDGES", 0)
     monkeypatch.setattr(skew, "MIN_ROWS", 0)
     monkeypatch.setattr(skew, "HOT_SHARE", 10)
     rng = np.random.default_rng(5)
@@ -124,8 +123,7 @@ def test_region_query(spark):
         region_query(ds, [0.0], 1.0)
 
 
-def test_component_rounds_on_a_long_chain(spark, monkeypatch):
-    monkeypatch.setattr(components, "DRIVER_EDGES", 0)
+def test_component_rounds_on_a_long_chain(spark):
     rng = np.random.default_rng(1)
     perm = rng.permutation(200)
     pairs = [(int(perm[i]), int(perm[i + 1])) for i in range(199) if i != 120]
