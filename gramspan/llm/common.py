@@ -22,10 +22,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Used where several steps read the same rows: they are computed once, and a
-    lost executor costs no more than reading a file again.
+    lost executor costs no more than reading a file again. Spark frees the
+    shuffle files of a finished write when the driver collects its garbage,
+    which a driver that does little seldom does by itself.
     """
     path = f"{scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

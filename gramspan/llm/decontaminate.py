@@ -27,7 +27,7 @@ from gramspan.llm.common import texts
 from gramspan.llm.hashing import Block, Rolling, blocks, mix, signed
 
 # Tokens of a window, and how many of them must be words.
-WINDOW, LITERAL = 10, 6
+WINDOW, LITERAL = 10, 5
 # Matching windows on one alignment; an item with fewer must match with all.
 RUN = 4
 # Tokens below which an item has no window at all.

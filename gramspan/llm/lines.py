@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from gramspan.llm.common import stored
 from gramspan.llm.hashing import Block, Rolling, blocks, mix, signed
@@ -191,7 +192,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return placed.join(recurring, ["node", "template"]).filter(~is_first).select("doc_id", "tid", "number")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
     out = []
     for t, g in zip(text, gone, strict=True):

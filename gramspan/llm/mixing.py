@@ -117,7 +117,8 @@ def mix_rule(
     seed: str = "mix-1",
 ) -> tuple[DataFrame, DataFrame]:
     """Sizes of the documents, and per source (``of``) its target, whole repetitions and cut."""
-    sizes = stored(document_sizes(docs, seed).select("doc_id", "source", "size", "place"), "mix-sizes")
+    named = docs.select("doc_id", "source", "text")
+    sizes = stored(document_sizes(named, seed).select("doc_id", "source", "size", "place"), "mix-sizes")
     sources = source_weights(sizes, weights)
     total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).head()["n"]
     targets = fill(sources, total_ratio * total, max_epochs)

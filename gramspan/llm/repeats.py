@@ -144,11 +144,12 @@ def repeated_rows(rows: DataFrame, keys: int, many: int | None = None) -> DataFr
 def equal_texts(docs: DataFrame) -> DataFrame:
     """``doc_id, copy`` of the documents whose text another row has too.
 
-    ``copy`` is that text's hash and the least doc_id that has it.
+    ``copy`` is that text's hash and the least doc_id that has it, null before all others.
     """
     key = ["_a", "_b"]
     marks = docs.select("doc_id", F.xxhash64("text").alias("_a"), F.xxhash64("text", F.lit(7)).alias("_b"))
-    groups = marks.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("leader"))
+    groups = marks.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id")).alias("least")
+    ).select(*key, "n", F.col("least.doc_id").alias("leader"))
     copies = marks.join(groups.filter("n > 1"), key)
     return copies.groupBy("doc_id").agg(F.max(F.struct("_a", "leader")).alias("copy"))
 
