@@ -21,17 +21,17 @@ block of texts are sent once.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramspan.llm.common import scratch, stored, texts
+from gramspan.llm.common import stored, texts
 from gramspan.llm.hashing import Block, Rolling, blocks, mix, signed, sliding
-from gramspan.llm.repeats import covered, equal_texts, hash_tag
+from gramspan.llm.repeats import covered, equal_texts
 
 WIDTH, ANCHOR = 50, 16
 # The differences of the cover's members give every residue modulo the period.
@@ -141,67 +141,35 @@ def _digest(n: int, removed: int, spans: int, kept: bytes) -> dict:
 
 
 _RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_STATE = f"doc_id long, tag int, {_RESULT}, text binary, found array<long>, hot array<long>"
 
 
 def _hash_lists(column: pa.Array) -> list[np.ndarray]:
     return [np.array(x or (), np.int64).view(np.uint64) for x in column.to_pylist()]
 
 
-def _settle(docs: DataFrame) -> DataFrame:
-    """One row per document: its result, or its text and shared anchors if windows are in question.
+# ``place`` packs tag (24 bits), start (31) and lead (6); of what is decided, the context is the count.
+_CONTEXT = "k long, doc_id long, place long, context binary"
+_DECIDED = 63
 
-    ``docs`` has ``doc_id, text, found, hot, copy``.
-    """
 
-    def read(batches) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [
-                ("doc_id", pa.int64()),
-                ("tag", pa.int32()),
-                ("n_bytes", pa.int64()),
-                ("n_removed", pa.int64()),
-                ("n_spans", pa.int64()),
-                ("kept_sha256", pa.string()),
-                ("text", pa.binary()),
-                ("found", pa.list_(pa.int64())),
-                ("hot", pa.list_(pa.int64())),
-            ]
-        )
-        for batch in batches:
-            for part, body in blocks(batch):
-                s = Strings(body)
-                asked = np.zeros(len(body), bool)
-                asked[s.owner[: len(s.valid)][s.among(_hash_lists(part.column(2)))]] = True
-                rows = []
-                doc_ids, found, hot, copy = (part.column(i).to_pylist() for i in (0, 2, 3, 4))
-                for i, text in enumerate(body):
-                    row = dict.fromkeys(schema.names) | {"doc_id": doc_ids[i], "tag": hash_tag(text)}
-                    n = len(text)
-                    if copy[i] and n >= WIDTH:
-                        row |= _digest(n, n, 1, b"")
-                    elif copy[i] or not asked[i]:
-                        row |= _digest(n, 0, 0, text)
-                    else:
-                        row |= {"text": text, "found": found[i], "hot": hot[i]}
-                    rows.append(row)
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
-    return docs.mapInArrow(read, _STATE)
+def _pack(tag: np.ndarray, start: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    return (tag.astype(np.int64) << 37) | (start.astype(np.int64) << 6) | lead
 
 
-_CONTEXT = "k long, doc_id long, tag int, start int, lead int, n int, context binary"
+def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return place >> 37, (place >> 6) & 0x7FFFFFFF, place & 63
 
 
 def _contexts(state: DataFrame) -> DataFrame:
     """Runs of windows with one anchor, as the bytes they span, for the buckets.
 
     A window that a smaller document of the same block has too is decided here
-    and passes with no bytes.
+    and passes with no bytes. A window that its document has several times is
+    sent once; a run of length 0 says that there are such windows.
     """
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        names = ["k", "doc_id", "tag", "start", "lead", "n", "context"]
+        names = ["k", "doc_id", "place", "context"]
         for batch in batches:
             for part, body in blocks(batch):
                 s = Strings(body)
@@ -220,6 +188,7 @@ def _contexts(state: DataFrame) -> DataFrame:
                 here[order] = d > least
                 sent = np.zeros(len(at), bool)
                 sent[order[first]] = True
+                again = np.unique(owner[~sent & ~here])
 
                 def runs(mask, key, apart):
                     i = np.flatnonzero(mask)
@@ -236,20 +205,20 @@ def _contexts(state: DataFrame) -> DataFrame:
                 lead = np.where(hot[i], 0, anchors[i] - p)
                 joined = s.block.joined
                 bytes_ = [joined[a : a + b] for a, b in zip(p.tolist(), (n + WIDTH - 1).tolist(), strict=True)]
-                rows = np.concatenate([i, j])
-                starts = np.concatenate([p, q]) - s.block.first[owner[rows]]
-                take = pa.array(owner[rows])
+                texts_ = np.concatenate([owner[i], owner[j], again])
+                starts = np.concatenate([p, q, s.block.first[again]]) - s.block.first[texts_]
+                decided = np.concatenate([m, np.zeros_like(again)])
                 # What is decided goes anywhere.
-                keys = np.concatenate([key, mix(q.astype(np.uint64))])
+                keys = np.concatenate([key, mix(starts[len(p) :].astype(np.uint64) + whole[: len(decided)].sum())])
+                leads = np.append(lead, np.full(len(decided), _DECIDED))
+                tags = part.column(1).to_numpy()[texts_]
+                counts = [int(x).to_bytes(4, "big") for x in decided]
                 yield pa.RecordBatch.from_arrays(
                     [
                         signed(keys),
-                        part.column(0).take(take),
-                        part.column(1).take(take),
-                        pa.array(starts.astype(np.int32)),
-                        pa.array(np.concatenate([lead, np.zeros_like(q)]).astype(np.int32)),
-                        pa.array(np.concatenate([n, m]).astype(np.int32)),
-                        pa.array(bytes_ + [None] * len(j), pa.binary()),
+                        part.column(0).take(pa.array(texts_)),
+                        pa.array(_pack(tags, starts, leads)),
+                        pa.array(bytes_ + counts, pa.binary()),
                     ],
                     names,
                 )
@@ -316,45 +285,38 @@ _HIT = "doc_id long, tag int, start int, n int"
 def _sort_buckets(contexts: DataFrame) -> DataFrame:
     """``doc_id, tag, start, n``: runs of windows that a smaller document has."""
 
+    names = ["doc_id", "tag", "start", "n"]
+
+    def rows(doc: pa.Array, tag: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([doc, *(pa.array(x.astype(np.int32)) for x in (tag, start, n))], names)
+
     def solve(table: pa.Table) -> pa.RecordBatch:
-        table = table.combine_chunks()
-        c = {f: table.column(f) for f in table.column_names}
-        doc = c["doc_id"].fill_null(np.iinfo(np.int64).min).to_numpy()
-        row, offset = bucket_repeats(
-            doc,
-            c["lead"].to_numpy().astype(np.int64),
-            c["n"].to_numpy().astype(np.int64),
-            c["context"].to_pylist(),
-        )
+        docs = table.column(1).combine_chunks()
+        tag, start, lead = _unpack(table.column(2).to_numpy())
+        contexts = table.column(3).to_pylist()
+        n = np.fromiter(map(len, contexts), np.int64, len(contexts)) - WIDTH + 1
+        row, offset = bucket_repeats(docs.fill_null(np.iinfo(np.int64).min).to_numpy(), lead, n, contexts)
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (offset[1:] != offset[:-1] + 1)
         b = np.flatnonzero(new)
-        take = pa.array(row[b])
-        starts = c["start"].to_numpy()[row[b]] + offset[b]
-        n = np.diff(np.append(b, len(row)))
-        return pa.RecordBatch.from_arrays(
-            [
-                c["doc_id"].combine_chunks().take(take),
-                c["tag"].combine_chunks().take(take),
-                pa.array(starts.astype(np.int32)),
-                pa.array(n.astype(np.int32)),
-            ],
-            ["doc_id", "tag", "start", "n"],
-        )
+        return rows(docs.take(pa.array(row[b])), tag[row[b]], start[row[b]] + offset[b], np.diff(np.append(b, len(row))))
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         held = None
-        for batch in (*[], *batches):
-            done = batch.filter(batch.column(6).is_null())
-            if done.num_rows:
-                yield done.select(["doc_id", "tag", "start", "n"])
-            batch = batch.filter(batch.column(6).is_valid())
+        for batch in batches:
+            decided = (batch.column(2).to_numpy() & 63) == _DECIDED
+            if decided.any():
+                done = batch.filter(pa.array(decided))
+                tag, start, _ = _unpack(done.column(2).to_numpy())
+                counts = np.frombuffer(b"".join(done.column(3).to_pylist()), ">u4")
+                yield rows(done.column(1), tag, start, counts)
+            batch = batch.filter(pa.array(~decided))
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
             k = table.column(0).to_numpy()
             ends = np.append(np.flatnonzero(k[1:] != k[:-1]) + 1, len(k))
-            size = np.cumsum(table.column(5).to_numpy().astype(np.int64) + WIDTH - 1)
+            size = np.cumsum(pc.binary_length(table.column(3)).to_numpy().astype(np.int64))
             begin = 0
             # Whole keys, up to the size of a bucket; the last key may go on in the next batch.
             for a, b in zip(ends[:-1], ends[1:], strict=True):
@@ -371,7 +333,9 @@ def _sort_buckets(contexts: DataFrame) -> DataFrame:
     return contexts.repartition("k").sortWithinPartitions("k").mapInArrow(read, _HIT)
 
 
-def _finish(pending: DataFrame) -> DataFrame:
+def _finish(joined: DataFrame) -> DataFrame:
+    """Results of ``doc_id, tag, text, copy, hits``."""
+
     def read(batches) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [
@@ -384,30 +348,28 @@ def _finish(pending: DataFrame) -> DataFrame:
         )
         for batch in batches:
             rows = []
-            for doc_id, text, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                gone = np.zeros(len(text), bool)
-                if hits:
-                    windows = Rolling(Block([text]).byte_values()).windows(WIDTH)[: len(text) - WIDTH + 1]
-                    some = np.concatenate([np.arange(h["start"], h["start"] + h["n"]) for h in hits])
-                    # A window's fate depends on its bytes: it holds wherever they are.
-                    starts = np.flatnonzero(np.isin(windows, windows[some]))
-                    gone = covered(starts, WIDTH, len(text))
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
-                rows.append({"doc_id": doc_id} | _digest(len(text), int(gone.sum()), spans, kept))
+            for doc_id, tag, text, copy, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = len(text)
+                mine = [h for h in hits or () if h["tag"] == tag]
+                some = [np.arange(h["start"], h["start"] + h["n"]) for h in mine]
+                starts = np.concatenate([*some, np.zeros(0, np.int64)])
+                if copy and n >= WIDTH:
+                    result = _digest(n, n, 1, b"")
+                elif copy or not len(starts):
+                    result = _digest(n, 0, 0, text)
+                else:
+                    if not all(h["n"] for h in mine):
+                        # A window's fate depends on its bytes: it holds wherever they are.
+                        windows = Rolling(Block([text]).byte_values()).windows(WIDTH)[: n - WIDTH + 1]
+                        starts = np.flatnonzero(np.isin(windows, windows[starts]))
+                    gone = covered(starts, WIDTH, n)
+                    kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                    spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
+                    result = _digest(n, int(gone.sum()), spans, kept)
+                rows.append({"doc_id": doc_id} | result)
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return pending.mapInArrow(read, f"doc_id long, {_RESULT}")
-
-
-def _bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Store rows so that a later join on ``key`` moves only the other side."""
-    spark = df.sparkSession
-    table = f"{name}_{uuid.uuid4().hex}"
-    path = f"{scratch(spark)}/{table}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(buckets, key).saveAsTable(table)
-    return spark.table(table)
+    return joined.mapInArrow(read, f"doc_id long, {_RESULT}")
 
 
 def remove_earlier_strings(docs: DataFrame) -> DataFrame:
@@ -439,18 +401,12 @@ def remove_earlier_strings(docs: DataFrame) -> DataFrame:
         )
     )
     is_copy = F.coalesce(F.col("copy._a") == F.xxhash64("text"), F.lit(False))
+    tag = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 24)).cast("int")
     joined = known.join(info, F.col("doc_id").eqNullSafe(F.col("_d")), "left").select(
-        "doc_id", "text", "found", "hot", is_copy.alias("copy")
-    )
-    state = _bucketed(_settle(joined), "doc_id", "strings_state")
-    pending = state.filter("text is not null")
-    hits = _sort_buckets(_contexts(pending))
-    # A row holds few runs; the document's are gathered where its text is.
-    hits = hits.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n")).alias("hits"))
-    hits = hits.select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), "hits")
-    waiting = pending.select("doc_id", "tag", "text").join(
-        hits, (F.col("doc_id") == F.col("_d")) & (F.col("tag") == F.col("_t")), "left"
+        "doc_id", tag.alias("tag"), "text", "found", "hot", is_copy.alias("copy")
     )
-    finished = _finish(waiting.select("doc_id", "text", "hits"))
-    settled = state.filter("text is null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
-    return settled.unionByName(finished)
+    hits = _sort_buckets(_contexts(joined.filter("size(found) > 0 and not copy")))
+    # The texts are shuffled once: contexts and results are made where they lie.
+    hits = hits.groupBy(F.col("doc_id").alias("_h")).agg(F.collect_list(F.struct("tag", "start", "n")).alias("hits"))
+    waiting = joined.join(hits, F.col("doc_id").eqNullSafe(F.col("_h")), "left")
+    return _finish(waiting.select("doc_id", "tag", "text", "copy", "hits"))
