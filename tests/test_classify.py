@@ -8,8 +8,8 @@ from gramspan.operators import svc as svc_module
 from gramspan.operators.svc import Kernel
 from gramspan.sources import from_rows
 
-HOURS = [[1], [2], [3], [4], [5], [6], [7], [8]]
-PASSED = [0, 0, 0, 1, 1, 1, 1, 1]
+DOSES = [[0.5], [1], [1.5], [2.5], [3], [4], [4.5]]
+CURED = [0, 0, 1, 0, 1, 1, 1]
 
 
 @pytest.mark.parametrize("cells", [0, 1_000_000])
@@ -17,9 +17,9 @@ PASSED = [0, 0, 0, 1, 1, 1, 1, 1]
 def test_logistic_matches_plain_descent(spark, monkeypatch, cells, intercept):
     monkeypatch.setattr(logistic_module, "DRIVER_CELLS", cells)
     steps = 1000 if cells else 12
-    ds = from_rows(spark, HOURS * 3, PASSED * 3)
+    ds = from_rows(spark, DOSES * 3, CURED * 3)
     m = LogisticRegression(max_iterations=steps, fit_intercept=intercept).fit(ds)
-    want = brute.logistic_gd(HOURS * 3, PASSED * 3, steps=steps, intercept=intercept)
+    want = brute.logistic_gd(DOSES * 3, CURED * 3, steps=steps, intercept=intercept)
     got = np.append(m.intercept, m.coefficients) if intercept else m.coefficients
     np.testing.assert_allclose(got, want, rtol=1e-9)
 
@@ -44,7 +44,7 @@ def test_logistic_outputs(spark):
 
 
 def test_logistic_mle(spark):
-    x, y = HOURS, [0, 0, 1, 0, 1, 0, 1, 1]
+    x, y = DOSES, [0, 1, 0, 1, 0, 1, 1]
     m = LogisticRegression(solver="mle").fit(from_rows(spark, x, y))
     want = brute.logistic_gd(x, y, lr=0.1, steps=200_000, tol=0)
     np.testing.assert_allclose([m.intercept, *m.coefficients], want, rtol=1e-3)
@@ -62,7 +62,7 @@ def test_logistic_errors(spark):
 
 
 def test_svc_linear(spark):
-    x = [[1, 1], [2, 2], [3, 3], [-1, -1], [-2, -2], [-3, -3]]
+    x = [[1, 1], [2, 3], [4, 2], [-1, -1], [-3, -2], [-2, -5]]
     ds = from_rows(spark, x, [1, 1, 1, -1, -1, -1])
     m = SVC(kernel="linear").fit(ds)
     assert m.score(ds) == 1.0 and m.n_support_vectors(ds) == 2
@@ -73,10 +73,10 @@ def test_svc_linear(spark):
 
 
 def test_svc_rbf_and_polynomial(spark):
-    x = [[0, 0], [1, 0], [0, 1], [5, 5], [6, 5], [5, 6]]
+    x = [[0, 1], [1, 1], [1, 0], [6, 7], [7, 6], [7, 7]]
     ds = from_rows(spark, x, [1, 1, 1, -1, -1, -1])
     assert SVC().fit(ds).score(ds) == 1.0
-    ds = from_rows(spark, [[1, 1], [2, 2], [-1, -1], [-2, -2]], [1, 1, -1, -1])
+    ds = from_rows(spark, [[2, 1], [3, 3], [-1, -2], [-3, -3]], [1, 1, -1, -1])
     assert SVC(kernel="polynomial", degree=2).fit(ds).score(ds) >= 0.5
     assert SVC(kernel="sigmoid", gamma=0.1).fit(ds).score(ds) >= 0.5
 
@@ -145,7 +145,7 @@ def test_kernels():
 
 
 def test_svc_sweeps(spark):
-    x = [[1, 1], [2, 2], [3, 3], [4, 4], [-1, -1], [-2, -2], [-3, -3], [-4, -4], [2, -2], [-2, 2]]
+    x = [[1, 2], [2, 1], [3, 5], [5, 4], [-1, -2], [-2, -1], [-4, -3], [-5, -5], [3, -2], [-3, 2]]
     ds = from_rows(spark, x, [1, 1, 1, 1, -1, -1, -1, -1, 1, -1])
     got = c_sweep(ds, ds, [0.1, 10.0], kernel="linear").collect()
     assert [r["model"] for r in got] == ["C=0.1", "C=10"]

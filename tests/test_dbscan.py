@@ -23,21 +23,21 @@ def check(spark, x, eps, min_samples, metric="euclidean"):
 
 
 def test_two_groups_and_an_outlier(spark):
-    x = [[1, 2], [1.5, 1.8], [5, 8], [8, 8], [1, 0.6], [9, 11], [1.2, 1.9]]
+    x = [[0, 3], [0.4, 3.3], [0.7, 2.8], [6, 1], [6.5, 1.4], [6.2, 0.6], [3, 9]]
     model = check(spark, x, 1.0, 2)
     assert model.get_n_noise_points() == brute.dbscan(x, 1.0, 2)[0].tolist().count(-1)
 
 
 def test_all_noise_and_one_cluster(spark):
-    labels, _, model = run(spark, [[0, 0], [10, 10], [20, 20], [30, 30]], 1.0, 2)
+    labels, _, model = run(spark, [[0, 5], [7, 0], [15, 4], [-9, 8]], 1.0, 2)
     assert labels == [-1] * 4 and model.get_n_clusters() == 0
-    dense = [[0, 0], [0.1, 0], [0, 0.1], [0.1, 0.1], [0.05, 0.05], [0.15, 0.1]]
-    assert run(spark, dense, 0.5, 3)[0] == [0] * 6
+    dense = [[2.0, 1], [2.2, 1.1], [1.9, 1.2], [2.1, 0.8], [2.05, 1.05]]
+    assert run(spark, dense, 0.5, 3)[0] == [0] * 5
 
 
 def test_exact_radius_is_inclusive_and_manhattan(spark):
     check(spark, [[0.0], [1.0], [2.0], [4.0]], 1.0, 2)
-    check(spark, [[0, 0], [1, 0], [0, 1], [1, 1]], 1.5, 2, "manhattan")
+    check(spark, [[0, 0], [0.5, 1], [2, 1], [2, 3.5]], 1.5, 2, "manhattan")
     check(spark, [[0, 0], [1, 1], [2, 0], [5, 5]], 2.0, 2, "manhattan")
 
 
@@ -95,7 +95,7 @@ def test_non_finite_rows_are_noise(spark):
 
 
 def test_sweep_and_errors(spark):
-    x = [[1.5, 1.8], [2.0, 2.2], [2.3, 1.9], [7.8, 8.2], [8.1, 7.9], [5.0, 5.0]]
+    x = [[0, 0], [0.3, 0.4], [0.9, 0.1], [4, 4], [4.7, 4.6], [9, 0]]
     ds = from_rows(spark, x)
     got = dbscan_sweep(ds, [(0.5, 2), (1.0, 2)]).orderBy("eps").collect()
     for r in got:
