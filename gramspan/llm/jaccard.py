@@ -400,7 +400,9 @@ def near_duplicates(
     for end in ("a", "b"):
         name = leaders.select(F.col("doc_id").alias("_d"), F.col("leader").alias("_l"))
         stars = stars.join(name, F.col(end) == F.col("_d")).drop("_d", end).withColumnRenamed("_l", end)
-    clusters = connected_components(stars.filter("a != b").distinct().select("a", "b"))
+    # Written, so that the shuffle of the part keys is freed before the texts move.
+    stars = stored(stars.filter("a != b").distinct().select("a", "b"), "jaccard-stars")
+    clusters = connected_components(stars)
     chosen = clusters.join(leaders.filter("doc_id = leader").select(F.col("doc_id").alias("node")), "node")
     # One row of each leader, whichever of its texts it leads with.
     inside = known.join(chosen.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster")), "doc_id")
@@ -409,6 +411,7 @@ def near_duplicates(
     found = _search(rest, sim)
     for more in links:
         found = found.unionByName(more)
+    found = stored(found, "jaccard-links")
     labels = connected_components(found).select(F.col("node").alias("leader"), "label")
     return led.join(labels, "leader", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "leader", "doc_id").alias("component_id")
