@@ -452,6 +452,53 @@ def elastic_net(spark, sf):
     return _params(model, spark)
 
 
+@query(
+    f"WITH {_STATS_SQL}, sol AS (SELECT *, {_ridge_sql('caa', 'cab', 'cbb', 'cay', 'cby', 50.0)} FROM st)"
+    " SELECT l_orderkey, l_linenumber, l_partkey, round(my + wa * (a - ma) + wb * (b - mb), 5) + 0.0 AS prediction"
+    " FROM base, sol"
+)
+def ridge_predict(spark, sf):
+    return _predictions(Ridge(alpha=50.0), spark, sf)
+
+
+@query(
+    f"WITH RECURSIVE {_STATS_SQL}, {_descent_sql('0.03', '0.07')}"
+    " SELECT l_orderkey, l_linenumber, l_partkey, round(sol.my + wa * (a - sol.ma) + wb * (b - sol.mb), 5) + 0.0"
+    " AS prediction FROM base, sol"
+)
+def elastic_net_predict(spark, sf):
+    return _predictions(ElasticNet(alpha=0.1, l1_ratio=0.3, tolerance=1e-12), spark, sf)
+
+
+@query(
+    f"WITH RECURSIVE {_STATS_SQL}, {_descent_sql('0.1', '0.0')}"
+    """ SELECT count(*) AS n, round(avg(e * e), 5) + 0.0 AS mse, round(avg(abs(e)), 5) + 0.0 AS mae,
+  round(1 - avg(e * e) / var_pop(y), 6) + 0.0 AS r2
+FROM (SELECT y, y - (sol.my + wa * (a - sol.ma) + wb * (b - sol.mb)) AS e FROM base, sol) t"""
+)
+def lasso_score(spark, sf):
+    ds = _signal(spark, sf)
+    found = Lasso(alpha=0.1, tolerance=1e-12).fit(ds).evaluate(ds)
+    return found.select("n", r("mse", 5).alias("mse"), r("mae", 5).alias("mae"), r("r2").alias("r2"))
+
+
+@query(
+    f"""WITH RECURSIVE {_STATS_SQL},
+zn AS (SELECT sqrt(caa) AS sa, sqrt(cbb) AS sb, 1.0::DOUBLE AS caa, cab / sqrt(caa * cbb) AS cab, 1.0::DOUBLE AS cbb,
+  cay / sqrt(caa) AS cay, cby / sqrt(cbb) AS cby, ma, mb, my FROM st),
+{_descent_sql('0.1', '0.0', 'sa, sb,', 'zn')}"""
+    + _terms_sql("wa / sa", "wb / sb", "my - wa / sa * ma - wb / sb * mb", "sol")
+)
+def lasso_normalized(spark, sf):
+    return _params(Lasso(alpha=0.1, normalize=True, tolerance=1e-12).fit(_signal(spark, sf)), spark)
+
+
+def _predictions(estimator, spark, sf) -> DataFrame:
+    ds = _signal(spark, sf)
+    scored = estimator.fit(ds).transform(ds.df)
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", r("prediction", 5).alias("prediction"))
+
+
 _HALVES_SQL = f"""{_STATS_SQL},
 t AS (SELECT *, row_number() OVER (ORDER BY {_KEY_SQL}) - 1 AS i, count(*) OVER () AS m FROM base),
 s AS (SELECT *, i < m - CAST(floor(m * 0.3 + 0.5) AS BIGINT) AS train FROM t),

@@ -249,7 +249,7 @@ class LDA:
         wanted = len(parts) - 1 if self.n_components is None else self.n_components
         k = min(wanted, len(parts) - 1)
         if k < 1:
-            raise ValueError("number of components must be positive")
+            raise ValueError("at least one component has to be asked for")
         means = np.array([m.mean for m in parts.values()])
         within = sum(m.centered() for m in parts.values())
         gaps = means - whole.mean
@@ -259,7 +259,7 @@ class LDA:
         values, vectors = np.linalg.eigh(np.linalg.solve(chol, half.T))
         order = [i for i in np.argsort(-values, kind="stable") if values[i] > _LDA_MIN_EIGENVALUE]
         if not order:
-            raise ValueError("no valid discriminant components found")
+            raise ValueError("no direction separates the classes")
         chosen = order[:k]
         raw = np.linalg.solve(chol.T, vectors[:, chosen]).T
         raw /= np.linalg.norm(raw, axis=1, keepdims=True)

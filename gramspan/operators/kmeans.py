@@ -112,7 +112,7 @@ class KMeans:
         if stats["bad"]:
             raise ValueError("null in a feature column")
         if n < self.n_clusters:
-            raise ValueError(f"n_samples={n} should be >= n_clusters={self.n_clusters}")
+            raise ValueError(f"{self.n_clusters} clusters need at least as many rows, found {n}")
         if self.backend == "mllib":
             return self._fit_mllib(rows, features)
         centers = self._seed(rows, order, n)

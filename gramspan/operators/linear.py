@@ -254,8 +254,11 @@ def regularization_path(
     alphas: Iterable[float],
     make=Lasso,
 ) -> DataFrame:
-    """``alpha, test_r2, intercept, coefficients`` for every alpha."""
-    by_name = {repr(float(a)): make(alpha=float(a)) for a in alphas}
+    """``alpha, test_r2, intercept, coefficients`` for every alpha; a repeated one is an error."""
+    alphas = [float(a) for a in alphas]
+    if len(set(alphas)) < len(alphas):
+        raise ValueError("an alpha is given twice")
+    by_name = {repr(a): make(alpha=a) for a in alphas}
     table = compare_models(train, test, by_name)
     return table.select(
         F.col("model").cast("double").alias("alpha"), "test_r2", "intercept", "coefficients"

@@ -111,7 +111,7 @@ class LogisticRegression:
         if seen["n"] == 0:
             raise ValueError("input must have at least one sample")
         if seen["bad"]:
-            raise ValueError("labels must be 0 or 1 for binary classification")
+            raise ValueError("found a label other than 0 and 1")
         if self.solver == "mle":
             return self._fit_mle(rows, ds.features)
         return self._fit_gd(rows, ds.features, seen["n"], seen["distinct"])

@@ -17,15 +17,20 @@ def _col(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
+def _whole(n: Column, nulls: Column) -> Column:
+    """The row count; an error if a pair was incomplete, as fits have it."""
+    return F.when(nulls > 0, F.raise_error(F.lit("null label or prediction")).cast("long")).otherwise(n)
+
+
 def regression_metrics(df: DataFrame, y_true, y_pred) -> DataFrame:
     """One row ``n, mse, mae, r2`` in a single pass.
 
     The total sum of squares comes from the running population variance, which
-    is stable without a separate pass for the mean.
+    is stable without a separate pass for the mean. A null is an error.
     """
     t, p = _col(y_true), _col(y_pred)
     sums = df.select(t.alias("t"), p.alias("p")).agg(
-        F.count(F.lit(1)).alias("n"),
+        _whole(F.count(F.lit(1)), F.count_if(F.col("t").isNull() | F.col("p").isNull())).alias("n"),
         F.avg((F.col("t") - F.col("p")) * (F.col("t") - F.col("p"))).alias("mse"),
         F.avg(F.abs(F.col("t") - F.col("p"))).alias("mae"),
         F.var_pop("t").alias("var"),
@@ -45,12 +50,13 @@ def classification_metrics(df: DataFrame, y_true, y_pred) -> DataFrame:
     """One row ``n, tn, fp, fn, tp, accuracy, precision, recall, f1``.
 
     A value above 0.5 is positive and everything else negative, so 0/1 and
-    -1/+1 labels both work. Accuracy compares the values themselves.
+    -1/+1 labels both work. Accuracy compares the values themselves. A null is
+    an error.
     """
     pairs = df.select(_col(y_true).alias("t"), _col(y_pred).alias("p"))
     t, p = _positive(F.col("t")), _positive(F.col("p"))
     counts = pairs.agg(
-        F.count(F.lit(1)).alias("n"),
+        _whole(F.count(F.lit(1)), F.count_if(F.col("t").isNull() | F.col("p").isNull())).alias("n"),
         F.count_if(~t & ~p).alias("tn"),
         F.count_if(~t & p).alias("fp"),
         F.count_if(t & ~p).alias("fn"),
@@ -88,7 +94,8 @@ def confusion_counts(df: DataFrame, y_true, y_pred) -> DataFrame:
             for a, b, k in cells
         ]
     )
-    return m.select(F.inline(grid))
+    # With the count, so that pruning cannot drop its check for nulls.
+    return m.filter("n >= 0").select(F.inline(grid))
 
 
 def log_loss_term(y: Column, p: Column) -> Column:
@@ -98,8 +105,11 @@ def log_loss_term(y: Column, p: Column) -> Column:
 
 
 def log_loss_metric(df: DataFrame, y_true, p) -> DataFrame:
-    """One row ``log_loss``."""
-    return df.agg(F.avg(log_loss_term(_col(y_true), _col(p))).alias("log_loss"))
+    """One row ``log_loss``. A null is an error."""
+    pairs = df.select(_col(y_true).alias("t"), _col(p).alias("p"))
+    none = F.count_if(F.col("t").isNull() | F.col("p").isNull())
+    wrong = F.raise_error(F.lit("null label or probability")).cast("double")
+    return pairs.agg(F.when(none > 0, wrong).otherwise(F.avg(log_loss_term(F.col("t"), F.col("p")))).alias("log_loss"))
 
 
 def _regression(df, y_true, y_pred, name) -> float:
@@ -122,6 +132,7 @@ def r2_score(df: DataFrame, y_true, y_pred) -> float:
 
 
 def _classification(df, y_true, y_pred, name) -> float:
+    # The whole row: a column alone would not carry the check for nulls.
     return classification_metrics(df, y_true, y_pred).head()[name]
 
 

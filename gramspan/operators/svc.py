@@ -187,9 +187,9 @@ class SVC:
         landmarks: int = 500,
     ):
         if not c > 0:
-            raise ValueError(f"C must be positive, got {c}")
+            raise ValueError(f"penalty C = {c} is not above 0")
         if not gamma > 0:
-            raise ValueError(f"gamma must be positive, got {gamma}")
+            raise ValueError(f"kernel width gamma = {gamma} is not above 0")
         if kernel not in KERNELS:
             raise ValueError(f"kernel must be one of {KERNELS}")
         if degree < 0:

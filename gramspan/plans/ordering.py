@@ -26,6 +26,12 @@ _BRACKET = 2.0 / _ACCURACY
 TOP_K_LIMIT = 2_000
 
 
+def _tie(df: DataFrame, order_by: Sequence[str]) -> list:
+    """Order among rows with equal keys: the same on every path, and reproducible."""
+    others = [c for c in df.columns if c not in order_by]
+    return [F.xxhash64(*others)] if others else []
+
+
 def _numbered(df: DataFrame, order_by: Sequence[str], name: str) -> tuple[DataFrame, int]:
     """``df`` with its 0-based position in key order, and the row count.
 
@@ -33,9 +39,7 @@ def _numbered(df: DataFrame, order_by: Sequence[str], name: str) -> tuple[DataFr
     cannot renumber rows between the count and the use.
     """
     keys = [F.col(c) for c in order_by]
-    others = [c for c in df.columns if c not in order_by]
-    # Only matters when the key has ties: keeps the numbering reproducible.
-    tie = [F.xxhash64(*others)] if others else []
+    tie = _tie(df, order_by)
     placed = durable(
         df.repartitionByRange(*keys, *tie)
         .sortWithinPartitions(*keys, *tie)
@@ -142,7 +146,7 @@ def rows_at(df: DataFrame, order_by: Sequence[str], positions: Sequence[int]) ->
     """
     wanted = sorted(set(positions))
     if wanted[-1] < TOP_K_LIMIT:
-        top = df.orderBy(*order_by).limit(wanted[-1] + 1).collect()
+        top = df.orderBy(*order_by, *_tie(df, order_by)).limit(wanted[-1] + 1).collect()
         return [top[i] for i in positions]
     hits = with_row_index(df, order_by, "_pos").filter(F.col("_pos").isin(wanted)).collect()
     found = {r["_pos"]: r for r in hits}

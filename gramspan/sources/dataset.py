@@ -131,7 +131,7 @@ class TabularDataset:
         ``shuffle=True`` gives a random split of about that proportion instead.
         """
         if not 0.0 < test_size < 1.0:
-            raise ValueError("test_size must be between 0 and 1")
+            raise ValueError(f"the test share is {test_size}, outside 0 to 1")
         if shuffle:
             train, test = self.df.randomSplit([1.0 - test_size, test_size], seed=seed)
             return self.with_df(train), self.with_df(test)

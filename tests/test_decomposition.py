@@ -114,7 +114,7 @@ def test_lda_errors(spark):
         LDA().fit(from_rows(spark, [[1], [2]], [1, 1]))
     with pytest.raises(ValueError):
         LDA(0).fit(from_rows(spark, [[1], [2]], [0, 1]))
-    with pytest.raises(ValueError, match="no valid"):
+    with pytest.raises(ValueError, match="no direction"):
         LDA().fit(from_rows(spark, [[1], [2], [1], [2]], [0, 0, 1, 1]))
 
 

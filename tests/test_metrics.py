@@ -65,3 +65,12 @@ def test_log_loss_is_clipped(spark):
     got = metrics.log_loss(pairs(spark, [1, 0, 1], [0.8, 0.3, 0.0]), "t", "p")
     want = -(math.log(0.8) + math.log(0.7) + math.log(1e-15)) / 3
     assert got == pytest.approx(want)
+
+
+def test_nulls_are_an_error(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (0.0, None), (None, 0.0)], "t double, p double")
+    for run in (metrics.accuracy_score, metrics.precision_score, metrics.r2_score, metrics.log_loss):
+        with pytest.raises(Exception, match="null label"):
+            run(df, "t", "p")
+    with pytest.raises(Exception, match="null label"):
+        metrics.confusion_counts(df, "t", "p").collect()
