@@ -3,9 +3,12 @@
 A line's place in the tree is its token count and its first ``DEPTH`` tokens,
 with variable tokens (those with a digit, ``@`` or ``://``) as one wildcard.
 Inside a leaf, a token is constant where at least ``min_docs`` documents have
-it at the same position; everything else is a variable field. The constant
-tokens of a line, by position, are its template. A template that recurs in
-``min_docs`` documents is boilerplate: its first line stays, the others go.
+it at the same position; everything else is a variable field. As values of
+fields reach ``min_docs`` too when the input grows, a line is also read with
+twice, four times, ... as many: of the sets of tokens that are constant at one
+of these bounds and still make up enough of the line, the smallest, by
+position, is its template. A template that recurs in ``min_docs`` documents is
+boilerplate: its first line stays, the others go.
 
 Unlike a parser that reads lines in order, the leaf is generalised from counts,
 so the result does not depend on the order of rows and every step is a
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -163,24 +166,42 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     )
     wanted = equal.select("at.doc_id", "at.tid", "at.number", "docs")
     tokens = stored(_tokens_of(docs, wanted), "line-tokens")
+    # How often min_docs doubles up to the documents that have a token at its place.
+    level = F.floor(F.log2(F.col("docs_with") / min_docs)).cast("int")
     constant = (
         tokens.groupBy("node", "place", "token")
-        .agg(F.sum("docs").alias("n"))
-        .filter(F.col("n") >= min_docs)
-        .select("node", "place", "token")
+        .agg(F.sum("docs").alias("docs_with"))
+        .filter(F.col("docs_with") >= min_docs)
+        .select("node", "place", "token", level.alias("level"))
     )
-    kept = tokens.join(constant.withColumn("constant", F.lit(True)), ["node", "place", "token"], "left")
-    fixed = F.coalesce("constant", F.lit(False))
+    kept = tokens.join(constant, ["node", "place", "token"], "left").withColumn("level", F.coalesce("level", F.lit(-1)))
     lead = F.col("place") < DEPTH
-    shape = kept.groupBy("node", "key").agg(
-        F.bit_xor(F.when(fixed, F.xxhash64("place", "token"))).alias("template"),
+    by_level = kept.groupBy("node", "key", "level").agg(
+        F.bit_xor(F.xxhash64("place", "token")).alias("mark"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(~lead).alias("inner"),
-        F.count_if(fixed & ~lead).alias("inner_fixed"),
-        F.count_if(fixed & ~F.col("variable")).alias("literal"),
+        F.count_if(~F.col("variable")).alias("literal"),
     )
-    known = shape.filter((F.col("inner_fixed") >= F.col("inner") * SIMILARITY) & (F.col("literal") >= F.col("n") * LITERAL))
-    placed = stored(lines.join(known.select("node", "key", "template"), ["node", "key"]).drop("key"), "line-templates")
+    line = Window.partitionBy("node", "key")
+    above = line.orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shape = by_level.select(
+        "node",
+        "key",
+        "level",
+        F.bit_xor("mark").over(above).alias("template"),
+        F.sum("n").over(line).alias("n"),
+        F.sum("inner").over(line).alias("inner"),
+        F.sum("inner").over(above).alias("inner_fixed"),
+        F.sum("literal").over(above).alias("literal"),
+    )
+    # Of the templates that say enough of a line, the coarsest: lines that agree in a finer one agree in it too.
+    known = (
+        shape.filter("level >= 0")
+        .filter((F.col("inner_fixed") >= F.col("inner") * SIMILARITY) & (F.col("literal") >= F.col("n") * LITERAL))
+        .groupBy("node", "key")
+        .agg(F.max_by("template", "level").alias("template"))
+    )
+    placed = stored(lines.join(known, ["node", "key"]).drop("key"), "line-templates")
     recurring = (
         placed.groupBy("node", "template", "doc_id", "tid")
         .agg(F.min("number").alias("number"))

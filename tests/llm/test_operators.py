@@ -135,6 +135,14 @@ def test_lines(spark, corpus, min_docs):
     assert gone and set(table(spark, corpus[:1]).columns) <= set(got.columns)
 
 
+@pytest.mark.parametrize("n", [200, 900, 5_000])
+def test_lines_of_two_fields_at_any_size(spark, n):
+    line = "Our branch in city{} offers today the best product{} at a very good price"
+    rows = [(i, f"own{i} text{i}\n" + line.format("abcdefghijklmnopqrstuvwxyzABCD"[i % 30], "abcdefghijklmnopqrstuvwxyzABCD"[i // 30 % 30])) for i in range(n)]
+    got = rows_of(lines.drop_recurring_lines(table(spark, rows)), "doc_id", "n_removed")
+    assert sorted(got) == [(i, int(i > 0)) for i in range(n)]
+
+
 def test_quality_learns_without_negatives(spark, sf):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = quality.classify(docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
