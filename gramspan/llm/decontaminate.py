@@ -6,7 +6,9 @@ names (capitalised inside a sentence). Windows of such tokens are hashed and
 joined to those of the benchmark. A leak is a run of matching windows on one
 alignment whose slots agree: the same value in the item is always the same
 value in the document and the other way round. So a question is found with
-other numbers or names too, but not by the mere form of its sentences.
+other numbers or names too, but not by the mere form of its sentences. Beside
+the templates all windows of the bare words in lower case are joined, so a copy
+in other case, or one of mostly numbers and names, matches too.
 
 The benchmark's windows are broadcast, in blocks of bounded size; every block is
 one pass over the documents, which are never shuffled.
@@ -44,6 +46,7 @@ UNITS = (
 ).split()
 
 _PLACEHOLDER = mix(np.arange(101, 105, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FOLDED = np.uint64(0xA3B195354A39B70D)
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[np.frombuffer(b"!\"#$&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8)] = True
 _ENDS = np.zeros(256, bool)
@@ -124,8 +127,27 @@ class Canonical:
         at = np.flatnonzero(good)
         return at, mix(Rolling(self.token).windows(length)[at] + np.uint64(length))
 
+    def folded(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of all windows in one text, of values without placeholders."""
+        n = len(self.value) - length + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        at = np.flatnonzero(self.owner[:n] == self.owner[length - 1 :])
+        return at, mix(Rolling(self.value).windows(length)[at] + _FOLDED + np.uint64(length))
+
+    def embedded(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first window of one text as it is inside a sentence, its first word a name."""
+        inside = Canonical.__new__(Canonical)
+        inside.kind, inside.token, inside.owner = self.kind[:length].copy(), self.token[:length].copy(), self.owner[:length]
+        if self.kind[0] == WORD:
+            inside.kind[0], inside.token[0] = NAME, _PLACEHOLDER[NAME]
+        return inside.windows(length)
 
-_ITEM = "item_id long, length int, at array<int>, w array<long>, value array<long>, kind array<tinyint>"
+
+_ITEM = (
+    "item_id long, length int, n int, at array<int>, w array<long>, fold_at array<int>, fold array<long>, "
+    "inside array<long>, value array<long>, kind array<tinyint>"
+)
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -139,14 +161,19 @@ def _items(benchmark: DataFrame) -> DataFrame:
                 for item, text in zip(ids, body, strict=True):
                     c = Canonical([text])
                     length = min(len(c.token), WINDOW)
-                    at, w = c.windows(length) if length >= SHORTEST else ((), np.zeros(0, np.uint64))
-                    if len(at):
+                    if length >= SHORTEST:
+                        at, w = c.windows(length)
+                        fold_at, fold = c.folded(length)
                         rows.append(
                             {
                                 "item_id": item,
                                 "length": length,
+                                "n": len(at),
                                 "at": at.tolist(),
                                 "w": w.view(np.int64).tolist(),
+                                "fold_at": fold_at.tolist(),
+                                "fold": fold.view(np.int64).tolist(),
+                                "inside": c.embedded(length)[1].view(np.int64).tolist(),
                                 "value": c.value.view(np.int64).tolist(),
                                 "kind": c.kind.tolist(),
                             }
@@ -157,8 +184,12 @@ def _items(benchmark: DataFrame) -> DataFrame:
                         [
                             ("item_id", pa.int64()),
                             ("length", pa.int32()),
+                            ("n", pa.int32()),
                             ("at", pa.list_(pa.int32())),
                             ("w", pa.list_(pa.int64())),
+                            ("fold_at", pa.list_(pa.int32())),
+                            ("fold", pa.list_(pa.int64())),
+                            ("inside", pa.list_(pa.int64())),
                             ("value", pa.list_(pa.int64())),
                             ("kind", pa.list_(pa.int8())),
                         ]
@@ -172,28 +203,47 @@ class Index:
     """The windows of a block of benchmark items, to look documents' windows up in."""
 
     def __init__(self, rows: list):
-        self.items = [(r["item_id"], len(r["w"]), np.array(r["value"]), np.array(r["kind"], np.int8)) for r in rows]
+        self.items = [
+            (r["item_id"], r["n"], len(r["fold"]), np.array(r["value"]), np.array(r["kind"], np.int8)) for r in rows
+        ]
+        # Where a hash occurs: item, place, and whether it is of template, folded or first word in a sentence.
         self.places = defaultdict(list)
         for i, r in enumerate(rows):
-            for at, w in zip(r["at"], r["w"], strict=True):
-                self.places[w].append((i, at))
+            for how, at, hashes in ((0, r["at"], r["w"]), (1, r["fold_at"], r["fold"]), (2, [0], r["inside"])):
+                for q, w in zip(at, hashes, strict=False):
+                    self.places[w].append((i, q, how))
         self.hashes = np.array(sorted(self.places), np.int64)
         self.lengths = sorted({r["length"] for r in rows})
+        self.marks = np.zeros(1 << 20, bool)
+        self.marks[self.hashes & 0xFFFFF] = True
+
+    def known(self, w: np.ndarray) -> np.ndarray:
+        """Positions of the hashes that the benchmark has."""
+        w = w.view(np.int64)
+        near = np.flatnonzero(self.marks[w & 0xFFFFF])
+        return near[np.isin(w[near], self.hashes)]
 
     def leaks(self, body: list[bytes]) -> list[tuple[int, int, int, int, int]]:
         """``text, item_id, windows, slots, changed`` of each leak, the longest alignment of each pair."""
         c = Canonical(body)
-        runs = defaultdict(list)
+        runs = defaultdict(set)
+        templates = defaultdict(set)
         for length in self.lengths:
-            at, w = c.windows(length)
-            hit = np.flatnonzero(np.isin(w.view(np.int64), self.hashes))
-            for p, h in zip(at[hit].tolist(), w[hit].view(np.int64).tolist(), strict=True):
-                for item, q in self.places[h]:
-                    runs[int(c.owner[p]), item, p - q].append((q, length))
+            for at, w in (c.windows(length), c.folded(length)):
+                hit = self.known(w)
+                for p, h in zip(at[hit].tolist(), w[hit].view(np.int64).tolist(), strict=True):
+                    for item, q, how in self.places[h]:
+                        if how == 2 and int(c.value[p].view(np.int64)) != self.items[item][3][0]:
+                            continue
+                        run = int(c.owner[p]), item, p - q
+                        runs[run].add((q, length))
+                        if how != 1:
+                            templates[run].add(q)
         best = {}
         for (text, item, shift), windows in runs.items():
-            item_id, n, value, kind = self.items[item]
-            if len(windows) < min(RUN, n):
+            item_id, n, n_folded, value, kind = self.items[item]
+            form = templates.get((text, item, shift), ())
+            if not (n and len(form) >= min(RUN, n)) and len(windows) < min(RUN, n_folded):
                 continue
             tokens = sorted({q + i for q, length in windows for i in range(length)})
             there, back, changed, slots = {}, {}, 0, 0
@@ -226,8 +276,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``changed`` of ``slots`` have another value than in the item; 0 is a verbatim
     copy up to case and punctuation. Null and empty texts leak nothing, nor do
-    items with fewer than ``SHORTEST`` tokens or too few words, null items and
-    items without id. Repeated rows and repeated items give repeated rows. Extra
+    items with fewer than ``SHORTEST`` tokens, null items and items without id;
+    an item with too few words is found with its own values only. Repeated rows and repeated items give repeated rows. Extra
     columns are ignored; an empty table gives no rows.
     """
     out = None

@@ -288,6 +288,15 @@ def test_leaks(spark):
     assert {(0, 1, 0), (2, 1, 5), (7, 1, 0)} <= set(got) and not {3, 4, 5, 6} & {d for d, *_ in got}
 
 
+def test_leaks_in_other_case(spark):
+    upper = "before it\n" + ITEM.replace("apples", "Apples").replace("the", "THE") + ". after"
+    got = leaks(spark, [upper, ITEM.upper(), ITEM.title(), ITEM.lower()])
+    assert got == [(i, 1, 0) for i in range(4)]
+    short = [(1, "What is the sum of 12 and 30 apples today"), (2, "5 6 7 8 9 10 11 12")]
+    texts = ["Question: What is the sum of 12 and 30 apples today", "Question: What is the sum of 15 and 70 apples today", "row 5 6 7 8 9 10 11 12"]
+    assert leaks(spark, [*texts, "Question: Paris is the sum of 15 and 70 apples today"], short) == [(0, 1, 0), (1, 1, 2), (2, 2, 0)]
+
+
 def test_leaks_edges(spark, sf):
     assert leaks(spark, [ITEM], [(1, None), (2, "one two three"), (None, ITEM), (4, "5 6 7 8 9 10 11 12")]) == []
     assert leaks(spark, [ITEM, ITEM], [(7, ITEM), (7, ITEM)]) == [(0, 7, 0), (1, 7, 0)]
