@@ -8,7 +8,8 @@ fields reach ``min_docs`` too when the input grows, a line is also read with
 twice, four times, ... as many: of the sets of tokens that are constant at one
 of these bounds and still make up enough of the line, the smallest, by
 position, is its template. A template that recurs in ``min_docs`` documents is
-boilerplate: its first line stays, the others go.
+boilerplate: its first line stays, the others go. A line without a template,
+such as one of mostly numbers, is compared as a whole.
 
 Unlike a parser that reads lines in order, the leaf is generalised from counts,
 so the result does not depend on the order of rows and every step is a
@@ -66,6 +67,7 @@ class Lines:
         self.owner = block.owner[self.first]
         self.number = line[self.first] - breaks[block.first][self.owner]
         self.key = Rolling(self.tokens).slices(self.first, self.first + self.count)
+        self.same = Rolling(tokens).slices(self.first, self.first + self.count)
         node = mix(self.count.astype(np.uint64) + np.uint64(1))
         for depth in range(DEPTH):
             at = np.minimum(self.first + depth, max(len(self.tokens) - 1, 0))
@@ -80,13 +82,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _line_table(docs: DataFrame) -> DataFrame:
-    """``doc_id, tid, number, node, key, fresh``: a row per line with tokens.
+    """``doc_id, tid, number, node, key, same, fresh``: a row per line with tokens.
 
-    ``fresh`` marks the first line of a document in its leaf.
+    ``same`` is of the tokens without wildcards; ``fresh`` marks the first line
+    of a document in its leaf.
     """
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "tid", "number", "node", "key", "fresh"]
+        names = ["doc_id", "tid", "number", "node", "key", "same", "fresh"]
         for batch in batches:
             for part, body in blocks(batch):
                 x = Lines(body)
@@ -102,12 +105,13 @@ def _line_table(docs: DataFrame) -> DataFrame:
                         pa.array(x.number.astype(np.int32)),
                         signed(x.node),
                         signed(x.key),
+                        signed(x.same),
                         pa.array(fresh),
                     ],
                     names,
                 )
 
-    schema = "doc_id long, tid long, number int, node long, key long, fresh boolean"
+    schema = "doc_id long, tid long, number int, node long, key long, same long, fresh boolean"
     return _keyed(docs).mapInArrow(read, schema)
 
 
@@ -201,7 +205,12 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         .groupBy("node", "key")
         .agg(F.max_by("template", "level").alias("template"))
     )
-    placed = stored(lines.join(known, ["node", "key"]).drop("key"), "line-templates")
+    # Lines with too few words for a template recur only where they are equal, numbers and all.
+    frequent = equal.filter(F.col("docs") >= min_docs).select("node", "key", F.lit(True).alias("frequent"))
+    known = known.join(frequent, ["node", "key"], "full_outer").select("node", "key", "template")
+    alone = F.coalesce("template", F.xxhash64("same", F.lit("equal")))
+    placed = lines.join(known, ["node", "key"]).withColumn("template", alone).drop("key", "same")
+    placed = stored(placed, "line-templates")
     recurring = (
         placed.groupBy("node", "template", "doc_id", "tid")
         .agg(F.min("number").alias("number"))

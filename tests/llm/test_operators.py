@@ -143,6 +143,12 @@ def test_lines_of_two_fields_at_any_size(spark, n):
     assert sorted(got) == [(i, int(i > 0)) for i in range(n)]
 
 
+def test_equal_lines_of_numbers(spark):
+    rows = [(i, f"Tel 555 1234 5678\nTel 555 1234 {i:04d}\nown{i} text{i}") for i in range(12)]
+    got = rows_of(lines.drop_recurring_lines(table(spark, rows)), "doc_id", "n_removed", "text")
+    assert got == sorted(((i, int(i > 0), t if not i else t.split("\n", 1)[1]) for i, t in rows), key=str)
+
+
 def test_quality_learns_without_negatives(spark, sf):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = quality.classify(docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
