@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +14,13 @@ from gramspan.llm.jaccard import Similarity, near_duplicates
 from gramspan.llm.licenses import page_files, scan
 from gramspan.llm.lines import drop_recurring_lines
 from gramspan.llm.mixing import mix_sources
+from gramspan.llm.packing import pack_documents
 from gramspan.llm.quality import classify
 from gramspan.llm.repeats import remove_repeats
+from gramspan.llm.search import search
 from gramspan.llm.suffixes import remove_earlier_strings
 from gramspan.llm.warc import archive_round_trip
+from gramspan.llm.whitening import whitened_components
 from gramspan.sources import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +123,43 @@ def op4_decontamination(spark, sf):
 @query()
 def op9_licenses(spark, sf):
     return scan(page_files(read_table(spark, sf, "pages"))).withColumnRenamed("file", "page_id")
+
+
+@query()
+def op11_whitening(spark, sf):
+    return whitened_components(read_table(spark, sf, "embeddings"))
+
+
+TERMS_SQL = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query(
+    f"""WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {TERMS_SQL} AS t FROM documents),
+item AS (SELECT row_number() OVER () AS q, item_id, unnest({TERMS_SQL}) AS term FROM benchmark),
+asked AS (SELECT q, item_id, term, count(*) AS c FROM item GROUP BY ALL),
+total AS (SELECT count(*)::BIGINT AS docs, sum(len(t))::BIGINT AS terms FROM doc WHERE len(t) > 0),
+held AS (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM doc),
+post AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM held WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weight AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM post, total GROUP BY term, docs),
+hit AS (
+  SELECT q, item_id, r, doc_id,
+    sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+  FROM post JOIN weight USING (term) JOIN asked USING (term), total GROUP BY q, item_id, r, doc_id),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM hit WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM best WHERE rank <= 10"""
+)
+def op12_search(spark, sf):
+    return search(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+@query()
+def op13_packing(spark, sf):
+    packed = pack_documents(read_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
