@@ -1,16 +1,19 @@
 """Exact self-join of documents by Jaccard similarity of their word n-grams.
 
-Equal sets are one row from the start. Sets that differ in at most d tokens
-agree on at least one of more than d parts of the hash range, so a shuffle of
-part keys finds every set's possible partners; sizes that can be similar meet
-at a level whose d covers them. Connected candidates form a cluster, and a
-cluster is searched with a signature tree: nodes hold the OR of their sets'
-bitmaps and the range of their sizes, and a traversal of node pairs goes on only
-where the overlap can still be large enough and components still differ.
-
-A cluster of more than ``CLUSTER`` sets is first thinned by distributed passes
-around a leader: similarity is one minus a metric, so whoever is near the leader
-and farther than the threshold from everyone not linked to it is settled.
+Equal sets are one node from the start. The hash range is cut into more parts
+than the tokens in which two linked sets can differ, so linked sets agree in
+several parts and have that many part keys in common; sizes that can be similar
+meet at a level whose parts are enough for both. Of the keys that a set shares
+with any other it can do without the most frequent ones, one less than linked
+sets have in common: this drops common passages, and sets without near ones.
+
+The first set of each key that is left is compared with the others. Where a key
+has further sets that this leaves apart, those are searched with a signature
+tree: nodes hold the OR of their sets' bitmaps and the range of their sizes, and a
+traversal of node pairs goes on only where the overlap can still be large enough
+and the sets are still apart. What shares such keys is cut into blocks, and pairs of
+blocks are searched in different tasks. Components are formed of verified links
+only, and the number of jobs does not depend on the data but for those.
 """
 
 from __future__ import annotations
@@ -21,16 +24,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gramspan.llm.common import stored, texts
 from gramspan.llm.hashing import Block, Rolling, blocks, mix, signed
 from gramspan.plans.components import connected_components
 
-# Sets, and tokens of all sets, that a task searches at once.
-CLUSTER, CLUSTER_TOKENS = 20_000, 8_000_000
-# Sizes of one class differ by less than this factor.
+# Sets, and tokens of all sets, in a block that is searched against others.
+SETS, TOKENS = 2_000, 1_000_000
+# Members of a key up to which they are counted; more are equally frequent.
+COUNTED = 1 << 20
 _LEAF, _FAN = 8, 8
 
 
@@ -61,6 +65,10 @@ class Similarity:
         share = (100 - self.percent) / (100 + self.percent) * (1 + 100 / self.percent)
         return np.floor(share * self.ratio ** (level + 1) * (1 + 1e-9)).astype(np.int64)
 
+    def agreeing(self, differences: np.ndarray) -> np.ndarray:
+        """Parts beyond the differences: as many are equal in linked sets."""
+        return 6 + differences // 8
+
 
 class Sets:
     """Distinct n-gram hashes of a block of texts, in order of text and hash."""
@@ -95,13 +103,18 @@ class Sets:
 
     def part_keys(self, sim: Similarity, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Keys of the parts of the chosen sets and the set of each key."""
-        keys, sets = [], []
+        return self.shared_keys(sim, chosen)[:2]
+
+    def shared_keys(self, sim: Similarity, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Part keys, the set of each, and two times the keys that a linked set has too, plus the level's step."""
+        keys, sets, tags = [], [], []
         own = sim.size_class(self.size)
-        for step in (0, -1):
-            level = own + step
+        for step in (0, 1):
+            level = own - step
             d = np.where((self.size > 0) & chosen & (level >= 0), sim.differences(level), 0)
+            spare = sim.agreeing(d)
             # With no difference allowed only equal sets are linked, and those are one.
-            parts = np.where(d > 0, d + 3 + d // 32, 0)
+            parts = np.where(d > 0, d + spare, 0)
             use = np.flatnonzero(parts[self.owner] > 0)
             if not len(use):
                 continue
@@ -110,18 +123,23 @@ class Sets:
             index = ((h >> np.uint64(32)) * p) >> np.uint64(32)
             new = np.flatnonzero(np.append(True, (o[1:] != o[:-1]) | (index[1:] != index[:-1])))
             place = mix(index[new] * np.uint64(4096) + (level[o[new]] + 1).astype(np.uint64))
+            filled = np.bincount(o[new], minlength=len(parts))
+            # Empty parts have no key, so those that are equal in both may be missing from the common ones.
+            common = spare - (parts - filled)
+            tag = 2 * np.maximum(common, 1) + step
             keys.append(mix(np.add.reduceat(mix(h), new) ^ place))
             sets.append(o[new])
+            tags.append(tag[o[new]])
             # If the empty parts alone could be what two sets agree on, they count as parts.
-            filled = np.bincount(o[new], minlength=len(parts))
-            for i in np.flatnonzero((parts > 0) & (parts - filled >= parts - d)):
+            for i in np.flatnonzero((parts > 0) & (common <= 0)):
                 mine = index[new][o[new] == i].astype(np.int64)
                 empty = np.setdiff1d(np.arange(parts[i]), mine).astype(np.uint64)
                 keys.append(mix(mix(empty * np.uint64(4096) + np.uint64(level[i] + 1)) + np.uint64(1)))
                 sets.append(np.full(len(empty), i))
+                tags.append(np.full(len(empty), tag[i]))
         if not keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate(keys), np.concatenate(sets)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate(keys), np.concatenate(sets), np.concatenate(tags)
 
 
 def _set_rows(docs: DataFrame, sim: Similarity) -> DataFrame:
@@ -139,46 +157,74 @@ def _set_rows(docs: DataFrame, sim: Similarity) -> DataFrame:
 
 
 def _part_rows(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """``k, doc_id``: part keys of the sets; of equal sets in a block, the least doc_id's."""
+    """``k, a, tag``: part keys of the different sets of each block of texts."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, body in blocks(batch):
+            for _, body in blocks(batch):
                 s = Sets(body, sim.words)
-                doc = part.column(0).to_pylist()
-                first = {}
-                for i in sorted((i for i, x in enumerate(doc) if x is not None), key=doc.__getitem__):
-                    first.setdefault(s.digest(i), i)
+                digests = [s.digest(i) for i in range(len(body))]
                 chosen = np.zeros(len(body), bool)
-                chosen[list(first.values())] = True
-                keys, sets = s.part_keys(sim, chosen)
-                yield pa.RecordBatch.from_arrays(
-                    [signed(keys), part.column(0).take(pa.array(sets.astype(np.int64)))], ["k", "doc_id"]
-                )
+                chosen[list({d: i for i, d in enumerate(digests)}.values())] = True
+                keys, sets, tags = s.shared_keys(sim, chosen)
+                nodes = np.array([a for a, _ in digests], np.int64)[sets]
+                yield pa.RecordBatch.from_arrays([signed(keys), pa.array(nodes), pa.array(tags)], ["k", "a", "tag"])
 
-    return docs.mapInArrow(read, "k long, doc_id long")
+    return docs.mapInArrow(read, "k long, a long, tag long")
 
 
-def _stars(rows: DataFrame) -> DataFrame:
-    """``a, b``: from the least document of each key to the others, read as a stream."""
+def _shared(rows: DataFrame) -> DataFrame:
+    """``k, a, tag, n``: rows of keys with ``n`` different sets, two at least, read as a stream."""
+    names = ["k", "a", "tag", "n"]
+
+    def out(c, n):
+        some = n > 1
+        n = np.minimum(n[some], COUNTED)
+        return pa.RecordBatch.from_arrays([*(pa.array(x[some]) for x in c), pa.array(n)], ["k", "a", "tag", "n"])
+
+    def all_of(c, n):
+        return out(c, np.full(len(c[0]), n))
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        key = least = None
+        # The key that may go on, its rows until they are too many to be counted, and the row before.
+        key, held, many, last = None, None, False, None
         for batch in batches:
-            if not batch.num_rows:
+            c = [x.to_numpy() for x in batch.columns]
+            if not len(c[0]):
+                continue
+            new = np.append(True, (c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1]))
+            new[0] = (c[0][0], c[1][0]) != last
+            last = c[0][-1], c[1][-1]
+            c = [x[new] for x in c]
+            if not len(c[0]):
                 continue
-            k, d = (c.to_numpy() for c in batch.columns)
-            first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-            lead = d[first].copy()
-            if k[0] == key:
-                lead[0] = least
-            key, least = k[-1], lead[-1]
-            lead = np.repeat(lead, np.diff(np.append(first, len(k))))
-            other = lead != d
-            pairs = np.unique(np.column_stack([lead[other], d[other]]), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            more = 0 if key is None else int(np.searchsorted(c[0], key, "right"))
+            if more and many:
+                yield all_of([x[:more] for x in c], COUNTED)
+            elif more:
+                held = [np.concatenate([h, x[:more]]) for h, x in zip(held, c, strict=True)]
+                many = len(held[0]) >= COUNTED
+                if many:
+                    yield all_of(held, COUNTED)
+            if more < len(c[0]):
+                if key is not None and not many:
+                    yield all_of(held, len(held[0]))
+                tail = int(np.searchsorted(c[0], c[0][-1]))
+                first = np.flatnonzero(np.diff(c[0][more:tail], prepend=c[0][more] - 1))
+                sizes = np.diff(np.append(first, tail - more))
+                yield out([x[more:tail] for x in c], np.repeat(sizes, sizes))
+                key, held, many = c[0][-1], [x[tail:] for x in c], False
+        if key is not None and not many:
+            yield all_of(held, len(held[0]))
+
+    return rows.repartition("k").sortWithinPartitions("k", "a").mapInArrow(read, "k long, a long, tag long, n long")
 
-    return rows.repartition("k").sortWithinPartitions("k", "doc_id").mapInArrow(read, "a long, b long").distinct()
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """``a, b``: from the least set of each key to the others, of different ``k, a``."""
+    least = rows.groupBy("k").agg(F.min("a").alias("least"))
+    pairs = rows.join(least, "k").filter("a != least")
+    return pairs.select(F.col("least").alias("a"), F.col("a").alias("b")).distinct()
 
 
 class Forest:
@@ -246,9 +292,15 @@ class SignatureTree:
         return near & (common + 1e-9 >= sim.least_common(low[i] + low[j]))
 
 
-def link_cluster(sets: list[np.ndarray], sim: Similarity) -> np.ndarray:
-    """For each set, the position of the first set of its component."""
+def link_cluster(sets: list[np.ndarray], sim: Similarity, known: np.ndarray | None = None) -> np.ndarray:
+    """For each set, the position of the first set of its component.
+
+    Sets with equal ``known`` labels are linked from the start.
+    """
     forest = Forest(len(sets))
+    if known is not None:
+        _, first, label = np.unique(known, return_index=True, return_inverse=True)
+        forest.up = first[label]
     size = np.array([len(s) for s in sets])
 
     def linked(i: int, j: int) -> bool:
@@ -257,7 +309,7 @@ def link_cluster(sets: list[np.ndarray], sim: Similarity) -> np.ndarray:
     # Near copies of one text: most sets link to the first, or to the one with the next least token.
     order = np.lexsort((size, [s[0] for s in sets]))
     for k in range(1, len(sets)):
-        if linked(0, k):
+        if forest.root(k) != forest.root(0) and linked(0, k):
             forest.join(0, k)
     for i, j in zip(order[:-1], order[1:], strict=True):
         if forest.root(i) != forest.root(j) and linked(i, j):
@@ -296,123 +348,139 @@ def link_cluster(sets: list[np.ndarray], sim: Similarity) -> np.ndarray:
     return forest.labels()
 
 
+def _blocks(members: DataFrame, most: int, most_tokens: int) -> DataFrame:
+    """``cluster, i, j, a, label, n``: the members of each pair of blocks that can hold an unknown link.
+
+    Blocks follow the labels, so that pairs of blocks of one and the same label fall away.
+    """
+    order = Window.partitionBy("cluster").orderBy("label", "a")
+    upto = F.sum(F.lit(1.0 / most) + F.col("n") / float(most_tokens)).over(order)
+    # Of the sum without the set itself, so that no block is left empty at the front.
+    placed = members.withColumn("block", F.floor(upto - F.lit(1.0 / most) - F.col("n") / float(most_tokens)))
+    blocks_ = placed.groupBy("cluster", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    left, right = (blocks_.select("cluster", *(F.col(c).alias(c + s) for c in ("block", "low", "high"))) for s in "ij")
+    alone = blocks_.groupBy("cluster").agg((F.count(F.lit(1)) == 1).alias("alone"))
+    pairs = (
+        left.join(right, "cluster")
+        .join(alone, "cluster")
+        .filter("blocki < blockj or (alone and blocki = blockj)")
+        .filter("not (lowi = highi and lowi = lowj and lowj = highj)")
+        .select("cluster", F.col("blocki").alias("i"), F.col("blockj").alias("j"))
+    )
+    ends = pairs.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+    return placed.join(ends, ["cluster", "block"]).select("cluster", "i", "j", "a", "label", "n")
+
+
 def _search(members: DataFrame, sim: Similarity) -> DataFrame:
-    """``a, b``: each document and the first of its component, cluster by cluster."""
+    """``a, b``: links between the sets of each pair of blocks, with those that labels tell; few."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        now, ids, sets = None, [], []
+        now, ids, labels, sets = None, [], [], []
 
         def solved():
             if len(sets) > 1:
-                labels = link_cluster(sets, sim)
-                rest = np.flatnonzero(labels != np.arange(len(labels)))
-                ids_ = np.array(ids, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids_[labels[rest]]), pa.array(ids_[rest])], ["a", "b"])
+                roots = link_cluster(sets, sim, np.array(labels, np.int64))
+                rest = np.flatnonzero(roots != np.arange(len(roots)))
+                of = np.array(ids, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(of[roots[rest]]), pa.array(of[rest])], ["a", "b"])
 
         for batch in batches:
-            flat = batch.column(2)
-            for r, (cluster, doc) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1)), strict=True)):
-                if cluster != now:
+            flat = batch.column(5)
+            keys = zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)
+            for r, (cluster, i, j, node, label) in enumerate(keys):
+                if (cluster, i, j) != now:
                     yield from solved()
-                    now, ids, sets = cluster, [], []
-                ids.append(doc)
+                    now, ids, labels, sets = (cluster, i, j), [], [], []
+                ids.append(node)
+                labels.append(label)
                 sets.append(flat[r].values.to_numpy().view(np.uint64))
         yield from solved()
 
-    rows = members.select("cluster", "doc_id", "grams")
-    return rows.repartition("cluster").sortWithinPartitions("cluster", "doc_id").mapInArrow(read, "a long, b long")
-
-
-def _thin(members: DataFrame, sim: Similarity, most: int, most_tokens: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Reduce clusters that are too large for a task; also the links found on the way.
-
-    Each round compares all members of a large cluster with its least one, which
-    is then done. A member linked to it is done too if no member that is not
-    linked to it can be near: distances obey the triangle inequality.
-    """
-    links, small = [], []
-    far = 1 - sim.percent / 100
-    while True:
-        sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("grams")).alias("t"))
-        large = sizes.filter((F.col("n") > most) | ((F.col("t") > most_tokens) & (F.col("n") > 2))).select("cluster")
-        large = stored(large, "jaccard-large")
-        if large.isEmpty():
-            small.append(members)
-            break
-        small.append(members.join(large, "cluster", "left_anti"))
-        rest = members.join(large, "cluster")
-        lead = rest.groupBy("cluster").agg(F.min(F.struct("doc_id", "grams")).alias("lead"))
-        common = F.size(F.array_intersect("grams", "lead.grams"))
-        either = F.size("grams") + F.size("lead.grams") - common
-        seen = stored(
-            rest.join(lead, "cluster")
-            .withColumn("linked", common * 100 >= either * sim.percent)
-            .withColumn("apart", 1 - common / either)
-            .select("cluster", "doc_id", "grams", F.col("lead.doc_id").alias("leader"), "linked", "apart")
-            .filter("doc_id != leader"),
-            "jaccard-round",
-        )
-        links.append(seen.filter("linked").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")))
-        edge = seen.filter("not linked").groupBy("cluster").agg(F.min("apart").alias("edge"))
-        open_ = seen.join(edge, "cluster").filter(
-            ~F.col("linked") | (F.col("apart") + F.lit(far + 1e-9) >= F.col("edge"))
-        )
-        members = open_.select("cluster", "doc_id", "grams")
-    out = small[0]
-    for s in small[1:]:
-        out = out.unionByName(s)
-    return out, links
+    rows = members.select("cluster", "i", "j", "a", "label", "grams").repartition("cluster", "i", "j")
+    rows = rows.sortWithinPartitions("cluster", "i", "j", "label", "a")
+    return rows.mapInArrow(read, "a long, b long").distinct()
 
 
 def _grams(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """``cluster, doc_id, grams`` of ``cluster, doc_id, text``."""
+    """``a, grams`` of ``doc_id, text``."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, body in blocks(batch):
+            for _, body in blocks(batch):
                 s = Sets(body, sim.words)
+                nodes = pa.array([s.digest(i)[0] for i in range(len(body))], pa.int64())
                 offsets = pa.array(np.append(s.first, len(s.grams)).astype(np.int32))
-                grams = pa.ListArray.from_arrays(offsets, signed(s.grams))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), grams], ["cluster", "doc_id", "grams"])
+                yield pa.RecordBatch.from_arrays([nodes, pa.ListArray.from_arrays(offsets, signed(s.grams))], ["a", "grams"])
 
-    return docs.mapInArrow(read, "cluster long, doc_id long, grams array<long>")
+    return docs.mapInArrow(read, "a long, grams array<long>")
+
+
+def _verified(pairs: DataFrame, grams: DataFrame, sim: Similarity) -> DataFrame:
+    """The pairs ``a, b`` of linked sets."""
+    left = grams.select("a", F.col("grams").alias("left"))
+    right = grams.select(F.col("a").alias("b"), F.col("grams").alias("right"))
+    both = pairs.join(left, "a").join(right, "b")
+    common = F.size(F.array_intersect("left", "right"))
+    either = F.size("left") + F.size("right") - common
+    return both.filter(common * 100 >= either * sim.percent).select("a", "b")
 
 
 def near_duplicates(
-    docs: DataFrame, sim: Similarity | None = None, most: int = CLUSTER, most_tokens: int = CLUSTER_TOKENS
+    docs: DataFrame, sim: Similarity | None = None, most: int = SETS, most_tokens: int = TOKENS
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row of ``docs`` (``doc_id, text``).
 
     ``component_id`` is the least doc_id that links reach. A null or blank text
     has no shingles and no links; a text with fewer words than a shingle has its
     whole sequence as one. Rows that share a doc_id are one document for links.
-    Rows without doc_id have no component. Extra columns are ignored.
+    Rows without doc_id have the component of rows with equal sets, or none.
+    Extra columns are ignored. ``most`` sets or about ``most_tokens`` of their
+    tokens are a block; the result does not depend on them. Hashes of shingles and
+    of whole sets have 64 bits.
     """
     sim = sim or Similarity()
     known = texts(docs)
     sets = stored(_set_rows(known, sim), "jaccard-sets")
     groups = sets.filter("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min("doc_id").alias("leader"))
-    led = stored(sets.join(groups, ["a", "b"], "left").select("doc_id", "n", "leader"), "jaccard-led")
-    leaders = led.filter("leader is not null").select("doc_id", "leader").distinct()
-
-    # Candidates between sets: equal sets are represented by their leader.
-    stars = _stars(_part_rows(known, sim))
+    led = stored(sets.join(groups, ["a", "b"], "left").select("doc_id", "n", "a", "leader"), "jaccard-led")
+
+    # Keys that a set shares with others, without the most frequent that it need not have.
+    shared = stored(_shared(_part_rows(known, sim)), "jaccard-shared")
+    often = Window.partitionBy("a", F.col("tag") % 2).orderBy(F.desc("n"), "k")
+    rare = shared.withColumn("r", F.row_number().over(often)).filter("r >= floor(tag / 2)")
+    rare = stored(rare.select("k", "a"), "jaccard-rare")
+    stars = stored(_stars(rare), "jaccard-stars")
+
+    # Sets of the nodes that are left, from one text each.
+    nodes = stars.select("a").union(stars.select("b")).distinct()
+    leaders = led.filter("leader = doc_id").select("a", "leader").distinct()
+    inside = known.join(leaders.join(nodes, "a").select(F.col("leader").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    grams = stored(_grams(inside, sim).join(nodes, "a", "left_semi").dropDuplicates(["a"]), "jaccard-grams")
+    found = stored(_verified(stars, grams, sim), "jaccard-found")
+
+    # Keys with members that the first one does not tell apart from each other.
+    label = found.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("label"))
+    least = rare.groupBy("k").agg(F.min("a").alias("least"), F.count(F.lit(1)).alias("n"))
+    rest = rare.join(least.filter("n > 2"), "k").filter("a != least").join(label, "a", "left")
+    rest = rest.select("k", "a", F.coalesce("label", "a").alias("label"))
+    mixed = rest.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    rest = stored(rest.join(mixed, "k", "left_semi"), "jaccard-rest")
+    clusters = connected_components(_stars(rest)).select(F.col("node").alias("a"), F.col("label").alias("cluster"))
+    size = grams.select("a", F.size("grams").alias("n"))
+    members = clusters.join(rest.select("a", "label").distinct(), "a").join(size, "a")
+    pairs = _blocks(stored(members, "jaccard-members"), most, most_tokens).join(grams, "a")
+    links = stored(found.unionByName(_search(pairs, sim)), "jaccard-links")
+
+    # From sets to documents; documents with several texts tie their sets.
+    edges = links
     for end in ("a", "b"):
-        name = leaders.select(F.col("doc_id").alias("_d"), F.col("leader").alias("_l"))
-        stars = stars.join(name, F.col(end) == F.col("_d")).drop("_d", end).withColumnRenamed("_l", end)
-    # Written, so that the shuffle of the part keys is freed before the texts move.
-    stars = stored(stars.filter("a != b").distinct().select("a", "b"), "jaccard-stars")
-    clusters = connected_components(stars)
-    chosen = clusters.join(leaders.filter("doc_id = leader").select(F.col("doc_id").alias("node")), "node")
-    # One row of each leader, whichever of its texts it leads with.
-    inside = known.join(chosen.select(F.col("node").alias("doc_id"), F.col("label").alias("cluster")), "doc_id")
-    members = stored(_grams(inside.select("cluster", "doc_id", "text"), sim).filter("size(grams) > 0"), "jaccard-members")
-    rest, links = _thin(members, sim, most, most_tokens)
-    found = _search(rest, sim)
-    for more in links:
-        found = found.unionByName(more)
-    found = stored(found, "jaccard-links")
-    labels = connected_components(found).select(F.col("node").alias("leader"), "label")
+        name = leaders.select(F.col("a").alias("_a"), F.col("leader").alias("_l"))
+        edges = edges.join(name, F.col(end) == F.col("_a")).drop("_a", end).withColumnRenamed("_l", end)
+    several = led.filter("leader is not null and doc_id is not null")
+    several = several.groupBy("doc_id").agg(F.min("leader").alias("a"), F.max("leader").alias("b")).filter("a < b")
+    ties = led.join(several.select("doc_id", F.col("a").alias("low")), "doc_id").filter("leader > low")
+    edges = edges.select("a", "b").unionByName(ties.select(F.col("low").alias("a"), F.col("leader").alias("b")))
+    labels = connected_components(edges).select(F.col("node").alias("leader"), "label")
     return led.join(labels, "leader", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "leader", "doc_id").alias("component_id")
     )
