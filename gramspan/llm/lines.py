@@ -9,7 +9,8 @@ twice, four times, ... as many: of the sets of tokens that are constant at one
 of these bounds and still make up enough of the line, the smallest, by
 position, is its template. A template that recurs in ``min_docs`` documents is
 boilerplate: its first line stays, the others go. A line without a template,
-such as one of mostly numbers, is compared as a whole.
+such as one of mostly numbers, is compared as a whole. A long line that is equal
+to the letter is no form with fields but a passage: ``long_docs`` documents are enough.
 
 Unlike a parser that reads lines in order, the leaf is generalised from counts,
 so the result does not depend on the order of rows and every step is a
@@ -34,6 +35,8 @@ from gramspan.llm.hashing import Block, Rolling, blocks, mix, signed
 DEPTH = 3
 # Documents a template recurs in to be dropped.
 MIN_DOCS = 10
+# Documents that a line of so many words, equal to the letter, recurs in to be dropped.
+LONG_DOCS, LONG_WORDS = 3, 50
 # Share of the tokens after the leading ones that must be constant.
 SIMILARITY = 0.6
 # Share of all tokens that must be constant and literal.
@@ -82,14 +85,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _line_table(docs: DataFrame) -> DataFrame:
-    """``doc_id, tid, number, node, key, same, fresh``: a row per line with tokens.
+    """``doc_id, tid, number, node, key, same, fresh, words``: a row per line with tokens.
 
     ``same`` is of the tokens without wildcards; ``fresh`` marks the first line
     of a document in its leaf.
     """
 
     def read(batches) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "tid", "number", "node", "key", "same", "fresh"]
+        names = ["doc_id", "tid", "number", "node", "key", "same", "fresh", "words"]
         for batch in batches:
             for part, body in blocks(batch):
                 x = Lines(body)
@@ -107,11 +110,12 @@ def _line_table(docs: DataFrame) -> DataFrame:
                         signed(x.key),
                         signed(x.same),
                         pa.array(fresh),
+                        pa.array(x.count.astype(np.int32)),
                     ],
                     names,
                 )
 
-    schema = "doc_id long, tid long, number int, node long, key long, same long, fresh boolean"
+    schema = "doc_id long, tid long, number int, node long, key long, same long, fresh boolean, words int"
     return _keyed(docs).mapInArrow(read, schema)
 
 
@@ -158,11 +162,25 @@ def _tokens_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.dropDuplicates(["doc_id", "tid"]).select("text", "asked").mapInArrow(read, schema)
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def _repeated(lines: DataFrame, keys: list[str], min_docs: int) -> DataFrame:
+    """``doc_id, tid, number`` of the lines whose ``keys`` recur in ``min_docs`` documents, but for the first."""
+    recurring = (
+        lines.groupBy(*keys, "doc_id", "tid")
+        .agg(F.min("number").alias("number"))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "tid", "number")).alias("first"))
+        .filter(F.col("docs") >= min_docs)
+    )
+    is_first = F.struct("doc_id", "tid", "number").eqNullSafe(F.col("first"))
+    return lines.join(recurring, keys).filter(~is_first).select("doc_id", "tid", "number")
+
+
+def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
     """``doc_id, tid, number`` of the lines that go."""
     lines = stored(_line_table(docs), "lines")
+    passages = _repeated(lines.filter(F.col("words") >= LONG_WORDS), ["same"], long_docs)
     leaves = lines.groupBy("node").agg(F.count_if("fresh").alias("n")).filter(F.col("n") >= min_docs).select("node")
-    lines = stored(lines.join(leaves, "node").drop("fresh"), "lines-shared")
+    lines = stored(lines.join(leaves, "node").drop("fresh", "words"), "lines-shared")
     # Equal lines are one row here; a line counts once for each document that has it.
     per_doc = lines.groupBy("node", "key", "doc_id", "tid").agg(F.min("number").alias("number"))
     equal = per_doc.groupBy("node", "key").agg(
@@ -211,15 +229,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     alone = F.coalesce("template", F.xxhash64("same", F.lit("equal")))
     placed = lines.join(known, ["node", "key"]).withColumn("template", alone).drop("key", "same")
     placed = stored(placed, "line-templates")
-    recurring = (
-        placed.groupBy("node", "template", "doc_id", "tid")
-        .agg(F.min("number").alias("number"))
-        .groupBy("node", "template")
-        .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "tid", "number")).alias("first"))
-        .filter(F.col("docs") >= min_docs)
-    )
-    is_first = F.struct("doc_id", "tid", "number").eqNullSafe(F.col("first"))
-    return placed.join(recurring, ["node", "template"]).filter(~is_first).select("doc_id", "tid", "number")
+    return _repeated(placed, ["node", "template"], min_docs).unionByName(passages).distinct()
 
 
 @F.pandas_udf(StringType())
@@ -233,25 +243,30 @@ def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS) -> DataFrame:
     """``docs`` with the text that is left, and ``n_lines``, ``n_removed``.
 
-    All rows and columns stay; only the column ``text`` changes. Lines end at
+    All rows and columns stay; only the column ``text`` changes, and columns named
+    ``n_lines`` or ``n_removed``, in any case, are replaced. Lines end at
     line feeds; a line without tokens never goes. A null text stays null with 0
     lines, an empty text is one line. Rows that repeat doc_id and text count as
     one document and lose the same lines. Where several documents could come
     first, it is the one with the least doc_id (null first), then the least line.
     """
-    gone = recurring_lines(docs, min_docs).groupBy("doc_id", "tid").agg(F.collect_list("number").alias("_gone"))
-    gone = gone.select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t"), "_gone")
-    tid = F.xxhash64(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    joined = docs.withColumn("_tid", tid).join(
-        gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.col("_tid") == F.col("_t")), "left"
+    gone = recurring_lines(docs, min_docs, long_docs).groupBy("doc_id", "tid")
+    gone = gone.agg(F.collect_list("number").alias("gone"))
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("tid").alias("gone_tid"), "gone")
+    added = ("n_lines", "n_removed")
+    kept = [c for c in docs.columns if c.lower() not in added]
+    whole = docs.select(
+        F.struct(*[docs[c] for c in kept]).alias("row"),
+        docs["doc_id"].cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce(docs["text"], F.lit("")).cast("binary")).alias("tid"),
     )
-    lines = F.coalesce(F.regexp_count("text", F.lit("\n")) + 1, F.lit(0)).cast("long")
+    joined = whole.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("tid") == F.col("gone_tid")), "left")
+    text = F.col("row").getField("text")
     return joined.select(
-        *[F.col(c) for c in docs.columns if c not in ("text", "n_lines", "n_removed")],
-        _without(F.col("text"), F.col("_gone")).alias("text"),
-        lines.alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-    ).select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+        *[(_without(text, F.col("gone")) if c == "text" else F.col("row").getField(c)).alias(c) for c in kept],
+        F.coalesce(F.regexp_count(text, F.lit("\n")) + 1, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+    )

@@ -23,8 +23,9 @@ HASH_BITS, LEVEL_BITS, LEVELS = 40, 12, 3
 
 
 def document_sizes(docs: DataFrame, seed: str) -> DataFrame:
-    """``docs`` with ``size, place``: words of each document and its seeded hash."""
-    name = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    """``docs`` with ``size, place``: words of each document and its seeded hash, of doc_id and text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    name = F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
     return docs.select(
         "*",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
@@ -149,20 +150,28 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
 
     Returns ``doc_id, source, size, source_size, target, repeats, taken``.
     Sizes are words; a null or blank text has size 0 and takes nothing. A null
-    source is a source of its own, after the others. Rows that repeat a doc_id
-    share its hash and are taken together; a null doc_id counts as one id.
-    Extra columns are ignored. Without words every target is 0. The draw
-    depends on the seed and doc_id alone, so reruns agree. The options are
+    source is a source of its own, after the others. Rows are drawn by doc_id and
+    text, a null doc_id being an empty one; only rows that repeat both are taken
+    together. Extra columns are ignored. Without words every target is 0. The draw
+    depends on the seed and the row alone, so reruns agree. The options are
     those of ``mix_rule``.
     """
     return _draw(*mix_rule(docs, **options))
 
 
 def mixed_documents(docs: DataFrame, seed: str = "mix-1", **options) -> DataFrame:
-    """``docs`` with ``size, source_size, target, repeats, taken``; columns of these names are replaced.
+    """The mix itself: a row of ``docs`` for each time that it is taken.
 
-    The text is not moved: only the small table of sources is joined.
+    Adds ``size, source_size, target, repeats`` and ``copy``, from 1 to
+    ``repeats``; columns of these names, in any case, are replaced, all others stay as they are.
+    A row that is not taken is not in the mix. The text is not moved: only the small
+    table of sources is joined.
     """
     _, rule = mix_rule(docs, seed=seed, **options)
-    added = ("size", "place", "source_size", "target", "repeats", "taken")
-    return _draw(document_sizes(docs.select(*[c for c in docs.columns if c not in added]), seed), rule)
+    added = ("size", "source_size", "target", "repeats", "copy")
+    kept = [c for c in docs.columns if c.lower() not in added]
+    whole = F.struct(*[docs[c] for c in kept]).alias("row")
+    sized = document_sizes(docs.select("doc_id", "source", "text", whole), seed)
+    drawn = _draw(sized.select("row", "source", "size", "place"), rule).filter("repeats > 0")
+    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
+    return copies.select(*[F.col("row").getField(c).alias(c) for c in kept], *added)

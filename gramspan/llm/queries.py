@@ -49,7 +49,7 @@ def op5_fingerprints(spark, sf):
 
 MIX_SQL = """WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-    ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, '')), 1, 10))::BIGINT // 16 AS bin FROM {docs}),
+    ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, 10))::BIGINT // 16 AS bin FROM {docs}),
 src AS (
   SELECT source, s, w, 2.0 * s AS cap, (row_number() OVER (ORDER BY 2.0 * s / w, source NULLS LAST)) AS k FROM (
     SELECT source, sum(size)::BIGINT AS s,

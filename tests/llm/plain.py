@@ -88,8 +88,13 @@ def components(rows, k, percent):
     return {d: (len(s), root(d)) for d, s in sets.items()}
 
 
-def dropped_lines(rows, min_docs, depth=3, similarity=0.6, literal=0.5):
+def dropped_lines(rows, min_docs, depth=3, similarity=0.6, literal=0.5, long_docs=3, long_words=50):
     """Set of ``(doc, line number)`` that go; rows have different ids."""
+    passages = defaultdict(list)
+    for doc, t in rows:
+        for i, line in enumerate((t or "").encode().split(b"\n")):
+            if len(line.split()) >= long_words:
+                passages[tuple(line.split())].append((doc, i))
     wild = b"<*>"
     mask = lambda w: wild if re.search(rb"[0-9@]|://", w) else w
     leaves = defaultdict(list)
@@ -99,6 +104,9 @@ def dropped_lines(rows, min_docs, depth=3, similarity=0.6, literal=0.5):
             if w:
                 leaves[len(w), w[:depth]].append((doc, i, w))
     gone = set()
+    for places in passages.values():
+        if len({d for d, _ in places}) >= long_docs:
+            gone |= set(sorted(places)[1:])
     for (n, _), lines in leaves.items():
         docs_of = defaultdict(set)
         for doc, _, w in lines:

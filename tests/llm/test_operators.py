@@ -143,6 +143,19 @@ def test_lines_of_two_fields_at_any_size(spark, n):
     assert sorted(got) == [(i, int(i > 0)) for i in range(n)]
 
 
+def test_long_equal_lines(spark):
+    """A passage of many words goes from the third document on; a shorter line and a changed one stay."""
+    passage, short = " ".join(f"p{i}x" for i in range(55)), "a short line of seven words here"
+    rows = [(i, f"own {i}\n{passage}\n{short}") for i in range(3)]
+    rows += [(3, passage + " and"), (None, f"{passage}\nend"), (None, f"{passage}\nend"), (5, "\n".join([passage] * 2))]
+    got = lines.drop_recurring_lines(table(spark, rows))
+    assert rows_of(got, "doc_id", "n_removed") == sorted(
+        [(0, 1), (1, 1), (2, 1), (3, 0), (None, 0), (None, 0), (5, 2)], key=str
+    )
+    two = lines.drop_recurring_lines(table(spark, rows[:2]))
+    assert rows_of(two, "n_removed") == [(0,), (0,)]
+
+
 def test_equal_lines_of_numbers(spark):
     rows = [(i, f"Tel 555 1234 5678\nTel 555 1234 {i:04d}\nown{i} text{i}") for i in range(12)]
     got = rows_of(lines.drop_recurring_lines(table(spark, rows)), "doc_id", "n_removed", "text")
@@ -215,12 +228,44 @@ def test_mixing(spark, corpus):
     for s in total:
         assert abs(taken[s] - target[s]) <= max(size[d] for d, _, x in rows if x == s)
     again = mixing.mixed_documents(table(spark, rows)).collect()
-    assert sorted((r["doc_id"], r["taken"]) for r in again) == sorted((r["doc_id"], r["taken"]) for r in got)
+    wanted = [(r["doc_id"], k, r["size"]) for r in got for k in range(1, r["repeats"] + 1)]
+    assert sorted((r["doc_id"], r["copy"], r["size"]) for r in again) == sorted(wanted)
     assert mixing.mix_sources(table(spark, rows).limit(0)).count() == 0
     blank = mixing.mix_sources(table(spark, [(1, None), (2, "  "), (None, "")])).collect()
     assert {(r["target"], r["taken"]) for r in blank} == {(0.0, 0)}
 
 
+def test_mixing_draws_rows_without_id_one_by_one(spark):
+    rows = [(None, f"w{i} " * 30, "a") for i in range(10)] + [(7, f"v{i} " * 30, "b") for i in range(40)]
+    got = mixing.mix_sources(table(spark, rows), total_ratio=0.5).collect()
+    for source in "ab":
+        mine = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 30
+
+
+INNER = (
+    "size place of whole cut target source_size repeats taken copy row _d _t _tid _gone gone gone_id gone_tid "
+    "tid number node key same fresh n_lines n_removed Size N_Lines words docs first level template low held bin"
+).split()
+
+
+def test_names_used_inside_may_be_columns(spark, corpus):
+    """Every column stays as it is, but for those that the operator adds."""
+    df = table(spark, [(d, t, "ab"[(d or 0) % 2]) for d, t in corpus[:40]])
+    for c in INNER:
+        if c.lower() not in [x.lower() for x in df.columns]:
+            df = df.withColumn(c, F.lit(f"own {c}"))
+    added = {"size", "source_size", "target", "repeats", "copy"}
+    mixed = mixing.mixed_documents(df)
+    assert [c for c in mixed.columns if c not in added] == [c for c in df.columns if c.lower() not in added]
+    assert {r["cut"] for r in mixed.collect()} == {"own cut"}
+    added = {"n_lines", "n_removed"}
+    kept = lines.drop_recurring_lines(df, 3)
+    assert [c for c in kept.columns if c not in added] == [c for c in df.columns if c.lower() not in added]
+    rows = kept.collect()
+    assert len(rows) == 40 and {(r["gone"], r["tid"]) for r in rows} == {("own gone", "own tid")}
+
+
 def test_mixing_matches_sql(spark):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
