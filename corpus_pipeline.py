@@ -4,7 +4,7 @@
 2. line dedup: recurring line templates go, every document stays;
 3. n-gram Jaccard join: of each group of near duplicates the least doc_id stays;
 4. benchmark decontamination: documents that leak a benchmark item go;
-5. mixing: every document left, with the repetitions that the mix takes of it.
+5. mixing: a row for each time that the mix takes a document; one it doesn't take goes.
 """
 
 from __future__ import annotations
