@@ -27,6 +27,8 @@ from gramspan.llm.common import stored, texts
 from gramspan.llm.hashing import Block, Rolling, blocks, mix, signed, sliding, winnow
 
 WIDTH = 35
+# Words of the shortest windows that are looked at; each level doubles them.
+FIRST = 9
 
 
 def levels(width: int, first: int) -> list[int]:
@@ -84,7 +86,7 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
 
 
 def _anchor_rows(docs: DataFrame, length: int, width: int, before: int | None) -> DataFrame:
-    """``h, doc_id, many``: the anchors of each document, and whether it has one more than once."""
+    """``h, doc_id, tag, many``: the anchors of each document, and whether it has one more than once."""
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,10 +101,11 @@ def _anchor_rows(docs: DataFrame, length: int, width: int, before: int | None) -
                 first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
                 starts = np.flatnonzero(first)
                 many = np.diff(np.append(starts, len(h))) > 1
-                doc = part.column(0).take(pa.array(owner[starts]))
-                yield pa.RecordBatch.from_arrays([signed(h[starts]), doc, pa.array(many)], ["h", "doc_id", "many"])
+                doc, tag = (part.column(c).take(pa.array(owner[starts])) for c in (0, 3))
+                columns = [signed(h[starts]), doc, tag, pa.array(many)]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "doc_id", "tag", "many"])
 
-    return docs.mapInArrow(read, "h long, doc_id long, many boolean")
+    return docs.mapInArrow(read, "h long, doc_id long, tag long, many boolean")
 
 
 def repeated_rows(rows: DataFrame, keys: int, many: int | None = None) -> DataFrame:
@@ -154,6 +157,17 @@ def equal_texts(docs: DataFrame) -> DataFrame:
     return copies.groupBy("doc_id").agg(F.max(F.struct("_a", "leader")).alias("copy"))
 
 
+def _copies(docs: DataFrame) -> DataFrame:
+    """``doc_id, tag, leads`` of the texts that another row has too.
+
+    ``leads`` is true for the least doc_id that has the text, null before all others.
+    """
+    marks = docs.select("doc_id", "tag", F.xxhash64("text", F.lit(7)).alias("check"))
+    groups = marks.groupBy("tag", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id")).alias("least"))
+    copies = marks.join(groups.filter("n > 1"), ["tag", "check"])
+    return copies.select("doc_id", "tag", F.col("least.doc_id").eqNullSafe(F.col("doc_id")).alias("leads")).distinct()
+
+
 def _kept(body: bytes, words: list[bytes], gone: np.ndarray | None) -> str:
     if gone is not None:
         words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
@@ -269,7 +283,7 @@ def _finish(pending: DataFrame, width: int) -> DataFrame:
     return pending.mapInArrow(read, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, first: int = (WIDTH + 1) // 2) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, first: int = FIRST) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` for each row of ``docs`` (``doc_id, text``).
 
     A word goes if a window of ``width`` consecutive words around it starts
@@ -279,37 +293,40 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, first: int = (WIDTH + 1)
     other's windows. Rows without doc_id take part like others. Extra columns
     are ignored.
     """
-    spark_texts = texts(docs)
+    # Rows that share a doc_id are told apart by their text.
+    key = ["doc_id", "tag"]
+    rows = texts(docs).withColumn("tag", F.xxhash64("text"))
+
+    def with_info(info: DataFrame) -> DataFrame:
+        named = info.withColumnsRenamed({"doc_id": "_d", "tag": "_t"})
+        return rows.join(named, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tag") == F.col("_t")), "left")
+
     lengths = levels(width, first)
     if len(lengths) == 1:
         lengths = [width, width]
-    known, before = spark_texts, None
+    known, before = rows.select("doc_id", "text", F.lit(None).cast("array<long>").alias("found"), "tag"), None
     for length in lengths[:-1]:
-        rows = _anchor_rows(known, length, width, before)
-        found = repeated_rows(rows, 1, 2).groupBy("doc_id").agg(F.collect_list("h").alias("found"))
+        anchors = _anchor_rows(known, length, width, before)
+        found = repeated_rows(anchors, 1, 3).groupBy(*key).agg(F.collect_list("h").alias("found"))
         found = stored(found, "repeats-level")
-        info = found.withColumnRenamed("doc_id", "_d")
-        known = spark_texts.join(info, F.col("doc_id").eqNullSafe(F.col("_d")), "left").select("doc_id", "text", "found")
+        known = with_info(found).select("doc_id", "text", "found", "tag")
         before = length
         if found.isEmpty():
             break
-    same = stored(equal_texts(spark_texts), "repeats-copies")
+    same = stored(_copies(rows), "repeats-copies")
     info = (
-        found.withColumn("copy", F.lit(None).cast(same.schema["copy"].dataType))
+        found.withColumn("leads", F.lit(None).cast("boolean"))
         .unionByName(same.withColumn("found", F.lit(None).cast("array<long>")))
-        .groupBy(F.col("doc_id").alias("_d"))
-        .agg(F.flatten(F.collect_list("found")).alias("found"), F.max("copy").alias("copy"))
-    )
-    is_copy = F.coalesce(F.col("copy._a") == F.xxhash64("text"), F.lit(False))
-    known = spark_texts.join(info, F.col("doc_id").eqNullSafe(F.col("_d")), "left").select(
-        "doc_id", "text", "found", is_copy.alias("copy"), F.col("copy.leader").eqNullSafe(F.col("doc_id")).alias("leads")
+        .groupBy(*key)
+        .agg(F.flatten(F.collect_list("found")).alias("found"), F.max("leads").alias("leads"))
     )
+    known = with_info(info).select("doc_id", "text", "found", F.col("leads").isNotNull().alias("copy"), "leads")
     state = stored(_settle(known, before, width), "repeats-state")
     windows = state.filter("p is not null").select(
         F.explode(F.arrays_zip("w", "v", "p", "m")).alias("x"), "doc_id", "tag"
     )
-    rows = windows.select("x.w", "x.v", "doc_id", "tag", "x.p", "x.m")
-    hits = repeated_rows(rows, 2, 5).groupBy("doc_id", "tag").agg(F.collect_list("p").alias("hits"))
+    shown = windows.select("x.w", "x.v", "doc_id", "tag", "x.p", "x.m")
+    hits = repeated_rows(shown, 2, 5).groupBy("doc_id", "tag").agg(F.collect_list("p").alias("hits"))
     hits = hits.select(F.col("doc_id").alias("_d"), F.col("tag").alias("_t"), "hits")
     open_rows = state.filter("text is not null").select("doc_id", "tag", "n_words", "text", "sure")
     pending = open_rows.join(

@@ -47,6 +47,37 @@ def test_repeated_rows_and_null_ids(spark, corpus):
     assert rows_of(got, *got.columns) == sorted(plain.earlier_strings(odd, 50), key=str)
 
 
+def test_documents_with_several_texts(spark):
+    """Rows that share an id, or have none, count by their text."""
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(5, a), (5, b), (6, a), (7, b), (None, a), (None, b), (None, "c d"), (8, b[:200])]
+    for some in (rows, rows[:4], rows[:2], [(5, a), (5, a + " more")]):
+        got = repeats.remove_repeats(table(spark, some))
+        assert rows_of(got, *got.columns) == sorted(plain.repeats(some, 35), key=str)
+
+
+def test_candidates_fall_from_level_to_level():
+    """Only windows around a repeated shorter window are looked at again."""
+    rng = np.random.default_rng(3)
+    text = lambda n: b" ".join(b"w%d" % i for i in rng.integers(0, 400, n))
+    short, long = text(12), text(60)
+    body = [text(200) + b" " + x + b" " + text(200) for x in (short, short, long, long)]
+    assert repeats.levels(35, repeats.FIRST) == [9, 18, 35]
+    x = repeats.Windows(body, 35)
+    found, left, owners = None, [], []
+    for length, before in ((9, None), (18, 9), (35, 18)):
+        wanted = x.valid if before is None else x.surviving(before, found)
+        left.append(int(wanted.sum()))
+        owners.append(set(x.block.owner[: len(wanted)][wanted].tolist()))
+        h, at = x.anchors(length, wanted)
+        owner = x.block.owner[at]
+        often = [v for v in set(h.tolist()) if (h == v).sum() > 1]
+        found = [np.array([v for v in often if v in set(h[owner == i].tolist())], np.uint64) for i in range(4)]
+    assert left[0] > 5 * left[1] > 0 and owners == [{0, 1, 2, 3}, {0, 1, 2, 3}, {2, 3}]
+    # Around the long passage, the windows at the last level include all 26 inside it.
+    assert 2 * 26 <= left[2] < left[1]
+
+
 @pytest.mark.parametrize("hot", [5_000, 2])
 def test_earlier_strings(spark, corpus, monkeypatch, hot):
     monkeypatch.setattr(suffixes, "HOT", hot)
