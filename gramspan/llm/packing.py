@@ -12,6 +12,7 @@ are taken apart, and their pieces, a small share of all, are dealt out and packe
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramspan.llm.common import stored, texts
-from gramspan.llm.hashing import Block, blocks
+from gramspan.llm.hashing import Block
 
 # Pieces and tokens that a task packs together.
 HOLD_PIECES, HOLD_TOKENS = 16_384, 8_000_000
-# Different words whose ids a worker remembers.
-WORDS = 200_000
+# Different words whose ids a worker remembers, before it starts anew.
+PARTS = 300_000
+# Text that is tokenised together; a longer one alone.
+TEXT_BYTES = 4 << 20
 END = 1
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -99,51 +102,190 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> np.ndarray:
 
 # --- tokens ------------------------------------------------------------------------
 
+# Steps before the byte-pair model for which words can be cut and lower-cased
+# here, in arrays: fixed values of the tokenizer's file.
+_PLAIN_STEPS = {
+    "normalizer": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+    "pre_tokenizer": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_LETTER, _DIGIT, _OTHER, _ODD = 1, 2, 3, 4
+
+
+def _classes() -> np.ndarray:
+    """Kind of each ASCII byte; an apostrophe, controls and all others need the tokenizer's own rules."""
+    kind = np.full(256, _ODD, np.uint8)
+    for c in range(33, 127):
+        kind[c] = _LETTER if chr(c).isalpha() else _DIGIT if chr(c).isdigit() else _OTHER
+    kind[ord("'")] = _ODD
+    return kind
+
+
+def _two_byte_letters() -> np.ndarray:
+    """By code point, the lower case of Latin letters from U+00C0 to U+023F; 0 for what is none or gets longer."""
+    lower = np.zeros(0x800, np.uint16)
+    for c in range(0xC0, 0x240):
+        low = chr(c).lower()
+        if chr(c).isalpha() and len(low) == 1 and ord(low) < 0x800:
+            lower[c] = ord(low)
+    return lower
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table = {b: chr(b) for b in shown}
+    table |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in table)}
+    return table | {32: " "}
+
+
+_KIND, _LOWER, _SHOWN = _classes(), _two_byte_letters(), _byte_characters()
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+
 
 class WordEncoder:
-    """Ids of whole texts, each word encoded once.
+    """Ids of whole texts, each different word encoded once.
 
     For tokenizers that never join text across ASCII white space and drop it.
+    Where the file says that words are cut at changes between letters, digits and
+    others, words of ASCII and Latin letters are cut and folded here, and only the
+    byte-pair model sees the parts; the tokenizer itself takes all other words.
     """
 
     def __init__(self, spec: str):
         # Tasks already use every core.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
+        self._forget()
         self.tokenizer = Tokenizer.from_str(spec)
-        self.known: dict[bytes, np.ndarray] = {}
+        steps = json.loads(spec)
+        self.plain = all(
+            (steps[k] or {}).get("type") == "Sequence" and next(v for n, v in steps[k].items() if n != "type") == rule
+            for k, rule in _PLAIN_STEPS.items()
+        ) and steps["model"].get("end_of_word_suffix")
+        if self.plain:
+            self.model = Tokenizer.from_str(spec)
+            self.model.normalizer = normalizers.Sequence([])
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for s, i in vocabulary.items() if s.endswith(self.plain)]] = True
+
+    def _parts(self, block: Block) -> tuple[np.ndarray, ...]:
+        """Bytes, starts and ends of the parts of words, and which ones only the tokenizer can encode."""
+        start, end = block.start, block.end
+        if not self.plain:
+            return block.bytes, start, end, np.ones(len(start), bool)
+        data = _FOLD[block.bytes]
+        kind = _KIND[data]
+        lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC8))
+        low = _LOWER[((data[lead].astype(np.uint16) & 0x1F) << 6) | (data[lead + 1] & 0x3F)]
+        lead, low = lead[low > 0], low[low > 0]
+        data[lead], data[lead + 1] = 0xC0 | (low >> 6), 0x80 | (low & 0x3F)
+        kind[lead] = kind[lead + 1] = _LETTER
+        # Special tokens begin with these two characters.
+        kind[np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))] = _ODD
+        odd = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(kind == _ODD, out=odd[1:])
+        strange = odd[end] > odd[start]
+        word = np.zeros(len(data) + 1, np.int64)
+        np.add.at(word, start, 1)
+        inside = np.repeat(strange, end - start)
+        at = np.repeat(start - (np.cumsum(end - start) - (end - start)), end - start) + np.arange(len(inside))
+        first = word[at] > 0
+        cut = (kind[at] != kind[at - 1]) | (kind[at] == _DIGIT)
+        begins = at[first | (cut & ~inside)]
+        # Words that are left to the tokenizer keep their case.
+        data[at[inside]] = block.bytes[at[inside]]
+        ends = np.append(begins[1:], 0)
+        last = np.searchsorted(begins, end) - 1
+        ends[last] = end
+        return data, begins, ends, strange[np.searchsorted(start, begins, "right") - 1]
 
     def encode(self, body: list[bytes]) -> list[np.ndarray]:
+        """For each text, its ids and ``END``, as little-endian unsigned 32-bit numbers."""
         block = Block(body)
         block.words()
         if not len(block.start):
-            return [np.zeros(0, np.uint32)] * len(body)
-        length = block.end - block.start
+            return [np.array([END], "<u4")] * len(body)
+        data, start, end, strange = self._parts(block)
+        length = end - start
         ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
-        at = np.repeat(block.start - ends[:-1], length) + np.arange(ends[-1])
-        data = pa.py_buffer(block.bytes[at].tobytes())
-        words = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(ends.tobytes()), data])
-        coded = words.dictionary_encode()
+        at = np.repeat(start - ends[:-1], length) + np.arange(ends[-1])
+        buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data[at].tobytes())]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(length), buffers).dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
         different = coded.dictionary.to_pylist()
-        if len(self.known) > WORDS:
-            self.known = {}
-        new = [w for w in different if w not in self.known]
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, np.uint32)) for w, e in zip(new, found, strict=True))
-        ids = [self.known[w] for w in different]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        first = np.cumsum(sizes) - sizes
-        code = coded.indices.to_numpy()
-        many = sizes[code]
+        asked = np.zeros(len(different), bool)
+        asked[code] = strange
+        place = self._places(different, asked)
+        many, first = self.sizes[place][code], self.first[place][code]
         upto = np.cumsum(many)
-        flat = np.concatenate(ids)[np.repeat(first[code] - (upto - many), many) + np.arange(upto[-1])]
-        cuts = np.concatenate([[0], upto])[np.append(block.word0, len(code))]
+        flat = self.ids[np.repeat(first - (upto - many), many) + np.arange(upto[-1])]
+        part = np.searchsorted(start, block.start)
+        cuts = np.concatenate([[0], upto])[np.append(part, len(code))[np.append(block.word0, len(part))]]
+        flat = np.insert(flat, cuts[1:], END).astype("<u4")
+        cuts += np.arange(len(cuts))
         return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
+    def _places(self, parts: list[bytes], asked: np.ndarray) -> np.ndarray:
+        """Where the ids of different parts are kept; those of new ones are found first."""
+        if len(self.known) > PARTS:
+            self._forget()
+        place = np.fromiter((self.known.get(p, -1) for p in parts), np.int64, len(parts))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            ids, sizes = self._different([parts[i] for i in new], asked[new])
+            self.first = np.append(self.first, len(self.ids) + np.cumsum(sizes) - sizes)
+            self.ids, self.sizes = np.append(self.ids, ids), np.append(self.sizes, sizes)
+            place[new] = len(self.known) + np.arange(len(new))
+            self.known.update(zip((parts[i] for i in new), place[new].tolist(), strict=True))
+        return place
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids = np.zeros(0, np.uint32)
+        self.first, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _different(self, parts: list[bytes], asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different parts one after another, and how many each has."""
+        own = np.flatnonzero(asked)
+        found = self.tokenizer.encode_batch_fast(
+            [parts[i].decode("utf-8", "replace") for i in own], add_special_tokens=False
+        )
+        found = [np.array(e.ids, np.uint32) for e in found]
+        sizes = np.zeros(len(parts), np.int64)
+        sizes[own] = [len(f) for f in found]
+        rest = np.flatnonzero(~asked)
+        plain = np.zeros(0, np.uint32)
+        if len(rest):
+            text = b" ".join(parts[i] for i in rest).decode("latin-1").translate(_SHOWN)
+            plain = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self.last[plain])
+            if len(last) != len(rest):
+                raise ValueError("the tokenizer does not end every word")
+            sizes[rest] = np.diff(last, prepend=-1)
+        out = np.empty(sizes.sum(), np.uint32)
+        mine = np.repeat(asked, sizes)
+        out[~mine] = plain
+        out[mine] = np.concatenate([*found, np.zeros(0, np.uint32)])
+        return out, sizes
+
 
 def _pieces(doc, ids: np.ndarray, longest: int) -> Iterator[tuple]:
-    ids = np.append(ids, np.uint32(END)).astype("<u4")
     for piece, start in enumerate(range(0, len(ids), longest)):
         part = ids[start : start + longest]
         yield doc, piece, start, len(part), part.tobytes()
@@ -222,6 +364,16 @@ _NAMES = [f.split(" ")[0] for f in PACKED.split(", ")]
 _TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
+    """Runs of rows with about ``TEXT_BYTES`` of text."""
+    ids, body = (c.to_pylist() for c in batch.columns)
+    upto = np.cumsum([len(t) for t in body])
+    cuts = [0, *(np.flatnonzero(np.diff((upto - 1) // TEXT_BYTES)) + 1).tolist(), len(body)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if a < b:
+            yield ids[a:b], body[a:b]
+
+
 def _batches(sequences: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
     """Rows of sequences as batches of a few MB."""
     rows, size = [], 0
@@ -260,8 +412,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: Capacity | None =
             encoder = WordEncoder(spec.value)
             packer = Packer(capacity, TaskContext.get().partitionId() << 32)
             for batch in batches:
-                for part, body in blocks(batch):
-                    for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(body), strict=True):
+                for docs_, body in _blocks(batch):
+                    for doc, ids in zip(docs_, encoder.encode(body), strict=True):
                         for row in _pieces(doc, ids, capacity.longest):
                             yield from packer.add(row)
             yield from packer.rest(last=False)

@@ -217,6 +217,25 @@ def test_range_maximum_and_pruning():
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def test_words_are_encoded_as_in_whole_texts():
+    """Cutting and folding words here changes no id."""
+    r = random.Random(2)
+    letters = "abzAZ09 '.,<|>-_ÀÉßŸİǅȺ×÷ÿžΣςσ漢字١²́\u00a0\u2028\u0085\x00\x1c\x7f\n\t🙂ﬁ"
+    words = ["it's", "DON'T", "<|endoftext|>", "<|startoftext|>x", "a<|b", "é", "É'S", "naïve42", "ſ", "ŉ", "'ll"]
+    body = []
+    for _ in range(400):
+        some = ["".join(r.choice(letters) for _ in range(r.randint(1, 9))) for _ in range(r.randint(0, 12))]
+        body.append(r.choice([" ", "\n", "  ", ""]).join(some + r.choices(words, k=3)))
+    body += ["", " ", "\n\t", "x" * 5000, "é" * 3000]
+    spec = open(TOKENIZER, encoding="utf-8").read()
+    tokenizer = Tokenizer.from_str(spec)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in body]
+    assert [x.tolist() for x in packing.WordEncoder(spec).encode([t.encode() for t in body])] == want
+    general = packing.WordEncoder(spec)
+    general.plain = None
+    assert [x.tolist() for x in general.encode([t.encode() for t in body])] == want
+
+
 def check_packing(docs, rows, capacity):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     want = Counter()
