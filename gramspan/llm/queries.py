@@ -90,7 +90,8 @@ def op6_mixing(spark, sf):
 
 @query()
 def op7_warc(spark, sf):
-    return archive_round_trip(read_table(spark, sf, "pages"))
+    found = archive_round_trip(read_table(spark, sf, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query()

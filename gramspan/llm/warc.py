@@ -36,7 +36,8 @@ _EPOCH = "1970-01-01T00:00:00Z"
 
 BUNDLE_SCHEMA = "bundle string, data binary, index array<struct<record_id:string,frame:int,start:int,length:int>>"
 RECORD_SCHEMA = (
-    "page_id long, url string, record_type string, payload_digest string, refers_to long, payload binary"
+    "record_id string, page_id long, url string, record_type string, payload_digest string, "
+    "refers_id string, refers_to long, payload binary"
 )
 
 
@@ -44,13 +45,13 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int, url: str | None, payload: bytes, sha: str, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record; a revisit has an empty block."""
+def record(record_id: str, url: str | None, payload: bytes, sha: str, refers_to: str | None) -> bytes:
+    """One WARC/1.1 record; a revisit has an empty block and the identifier of its response."""
     kind = "response" if refers_to is None else "revisit"
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{page_id}>",
+        f"WARC-Record-ID: <{record_id}>",
         f"WARC-Date: {_EPOCH}",
         f"WARC-Payload-Digest: sha1:{sha}",
     ]
@@ -59,7 +60,7 @@ def record(page_id: int, url: str | None, payload: bytes, sha: str, refers_to: i
         head.append("WARC-Target-URI: " + "".join(c for c in url if c >= " "))
     if refers_to is not None:
         head += [
-            f"WARC-Refers-To: <urn:page:{refers_to}>",
+            f"WARC-Refers-To: <{refers_to}>",
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
         ]
     head.append(f"Content-Length: {len(payload)}")
@@ -137,15 +138,38 @@ class BundleReader:
         return parse(self.frame(frame)[start : start + length])
 
 
-def first_with_payload(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """``page_id, payload_digest (hex), refers_to``: the page that each page repeats."""
-    html = F.coalesce(F.col("html"), F.lit(""))
-    keys = pages.filter("page_id is not null").select(
-        "page_id", F.sha1(html.cast("binary")).alias("sha"), F.octet_length(html).cast("long").alias("size")
+def _keyed(pages: DataFrame) -> DataFrame:
+    """``page_id, url, html, sha, size, row``: ``row`` names what the row says; equal rows share it."""
+    html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
+    rows = rows.withColumns({"sha": F.sha1("html"), "size": F.octet_length("html").cast("long")})
+    content = F.substring(F.sha2(F.concat_ws("|", "sha", F.hex(F.col("url"))), 256), 1, 32)
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
+    return rows.withColumn("row", F.concat_ws(":", F.lit("urn:page"), page, content))
+
+
+def record_plan(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """A row per record: ``row, record_id, page_id, url, sha, refers_id`` (null for a response).
+
+    The least row of a page_id is ``urn:page:<page_id>``; other rows of it, rows
+    without page_id and equal rows have longer identifiers. The response of a
+    payload is that of the least page_id, none last, then url.
+    """
+    slim = _keyed(pages).groupBy("row", "page_id", "url", "sha", "size").agg(F.count(F.lit(1)).alias("n"))
+    least = slim.filter("page_id is not null").groupBy("page_id").agg(F.min("row").alias("least"))
+    plain = F.concat(F.lit("urn:page:"), F.col("page_id").cast("string"))
+    known = slim.filter("page_id is not null").join(least, "page_id")
+    known = known.withColumn("name", F.when(F.col("row") == F.col("least"), plain).otherwise(F.col("row"))).drop("least")
+    named = known.unionByName(slim.filter("page_id is null").withColumn("name", F.col("row")))
+    order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", F.col("url").isNull().alias("bare"), "url", "name")
+    first = named.filter(F.col("size") >= min_bytes).groupBy("sha", "size").agg(F.min(order).alias("first"))
+    marked = named.join(first.select("sha", "size", F.col("first.name").alias("response")), ["sha", "size"], "left")
+    copies = marked.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))))
+    again = F.col("response").isNotNull() & ((F.col("name") != F.col("response")) | (F.col("copy") > 0))
+    name = F.when(F.col("copy") == 0, F.col("name")).otherwise(F.concat_ws(":", "row", "copy"))
+    return copies.select(
+        "row", name.alias("record_id"), "page_id", "url", "sha", F.when(again, F.col("response")).alias("refers_id")
     )
-    firsts = keys.filter(F.col("size") >= min_bytes).groupBy("sha", "size").agg(F.min("page_id").alias("first"))
-    repeats = F.when(F.col("first") < F.col("page_id"), F.col("first"))
-    return keys.join(firsts, ["sha", "size"], "left").select("page_id", repeats.alias("refers_to"))
 
 
 def write_bundles(
@@ -157,20 +181,17 @@ def write_bundles(
 ) -> None:
     """Archive ``page_id, url, html`` as a table of bundles with their indexes.
 
-    A null html is an empty payload and a null url has no target header; rows
-    without page_id have no record identifier and are left out. A page_id that
-    occurs again with the same html and url is one record; with another, the
-    least (html, url) is kept. Further columns are ignored. A bundle is closed
-    once its frames hold ``bundle_bytes``, so a task holds one bundle.
+    Every row has a record, rows that are equal, share a page_id or have none
+    too. A null html is an empty payload and a null url has no target header.
+    Further columns are ignored. A bundle is closed once its frames hold
+    ``bundle_bytes``, so a task holds one bundle.
     """
-    # One row per page; with no repeated page_id this keeps every row as it is.
-    one = pages.filter("page_id is not null").groupBy(F.col("page_id").cast("long").alias("page_id")).agg(
-        F.min(F.struct(F.coalesce("html", F.lit("")).alias("html"), "url")).alias("page")
-    )
-    one = one.select("page_id", "page.html", "page.url")
-    marked = one.join(first_with_payload(one, min_bytes), "page_id").select(
-        "page_id", "url", F.col("html").cast("binary").alias("html"), "refers_to"
-    )
+    plan = record_plan(pages, min_bytes)
+    payloads = _keyed(pages).select("row", "html").dropDuplicates(["row"])
+    shape = ("record_id", "url", "html", "sha", "refers_id")
+    responses = plan.filter("refers_id is null").join(payloads, "row").select(*shape)
+    revisits = plan.filter("refers_id is not null").withColumn("html", F.lit(b"")).select(*shape)
+    marked = responses.unionByName(revisits)
 
     def pack(batches):
         schema = pa.schema(
@@ -201,12 +222,11 @@ def write_bundles(
             )
 
         for batch in batches:
-            for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sha = digest(html)
-                body = html if refers_to is None else b""
-                # The page that opens a bundle names it: the same in every run of the task.
-                name = page_id if name is None else name
-                writer.add(f"urn:page:{page_id}", record(page_id, url, body, sha, refers_to))
+            for record_id, url, html, sha, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sha = base64.b32encode(bytes.fromhex(sha)).decode()
+                # The record that opens a bundle names it: the same in every run of the task.
+                name = record_id.removeprefix("urn:page:") if name is None else name
+                writer.add(record_id, record(record_id, url, html, sha, refers_to))
                 if writer.size >= bundle_bytes:
                     yield closed()
                     writer, name = BundleWriter(frame_bytes), None
@@ -223,15 +243,21 @@ def read_records(bundles: DataFrame, record_ids: Sequence[str] | None = None) ->
     def unpack(batches) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [
+                ("record_id", pa.string()),
                 ("page_id", pa.int64()),
                 ("url", pa.string()),
                 ("record_type", pa.string()),
                 ("payload_digest", pa.string()),
+                ("refers_id", pa.string()),
                 ("refers_to", pa.int64()),
                 ("payload", pa.binary()),
             ]
         )
-        number = lambda urn: None if urn is None else int(urn.strip("<>").rpartition(":")[2])
+
+        def number(urn):
+            page = "none" if urn is None else urn.split(":")[2]
+            return None if page == "none" else int(page)
+
         for batch in batches:
             for data, index in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 reader, rows, held, now, plain = BundleReader(data), [], 0, None, b""
@@ -243,13 +269,16 @@ def read_records(bundles: DataFrame, record_ids: Sequence[str] | None = None) ->
                     got = parse(plain[x["start"] : x["start"] + x["length"]])
                     if got["warc-record-id"] != f"<{x['record_id']}>":
                         raise ValueError("the index points at another record")
+                    refers_id = got.get("warc-refers-to", "").strip("<>") or None
                     rows.append(
                         {
-                            "page_id": number(got["warc-record-id"]),
+                            "record_id": x["record_id"],
+                            "page_id": number(x["record_id"]),
                             "url": got.get("warc-target-uri"),
                             "record_type": got["warc-type"],
                             "payload_digest": got["warc-payload-digest"].removeprefix("sha1:"),
-                            "refers_to": number(got.get("warc-refers-to")),
+                            "refers_id": refers_id,
+                            "refers_to": number(refers_id),
                             "payload": got["block"],
                         }
                     )
@@ -274,17 +303,22 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     write_bundles(pages, path, min_bytes)
     bundles = spark.read.parquet(path)
     records = read_records(bundles).select(
-        "page_id", F.octet_length("payload").cast("long").alias("own"), "payload_digest", "record_type", "refers_to"
+        "record_id",
+        "page_id",
+        F.octet_length("payload").cast("long").alias("own"),
+        "payload_digest",
+        "record_type",
+        "refers_id",
+        "refers_to",
     )
-    kept = [*records.columns]
     full = records.filter("record_type = 'response'").select(
-        F.col("page_id").alias("refers_to"), F.col("own").alias("full"), F.col("payload_digest").alias("digest")
+        F.col("record_id").alias("refers_id"), F.col("own").alias("full"), F.col("payload_digest").alias("digest")
     )
     # Responses name no other record and stay out of the join, where their nulls would share a key.
-    visits = records.filter("record_type = 'revisit'").join(full, "refers_to", "left")
+    visits = records.filter("record_type = 'revisit'").join(full, "refers_id", "left")
     wrong = F.raise_error(F.lit("a revisit refers to another payload")).cast("long")
     size = F.when(F.col("digest") == F.col("payload_digest"), F.col("full")).otherwise(wrong)
-    rows = records.filter("record_type = 'response'").unionByName(visits.withColumn("own", size).select(*kept))
+    rows = records.filter("record_type = 'response'").unionByName(visits.withColumn("own", size).select(*records.columns))
     return rows.withColumnRenamed("own", "payload_bytes").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id"
     )
