@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gramspan.llm.decontaminate import find_leaks
 from gramspan.llm.fingerprints import compare_with_next
 from gramspan.llm.jaccard import Similarity, near_duplicates
-from gramspan.llm.licenses import page_files, scan
+from gramspan.llm.licenses import scan_all
 from gramspan.llm.lines import drop_recurring_lines
 from gramspan.llm.mixing import mix_sources
 from gramspan.llm.packing import pack_documents
@@ -123,7 +123,7 @@ def op4_decontamination(spark, sf):
 
 @query()
 def op9_licenses(spark, sf):
-    return scan(page_files(read_table(spark, sf, "pages"))).withColumnRenamed("file", "page_id")
+    return scan_all(read_table(spark, sf, "documents"), read_table(spark, sf, "pages"))
 
 
 @query()
