@@ -2,13 +2,11 @@
 
 All solvers aim at the same optimum, ``|w|^2 / 2 + C * sum(hinge)``:
 
-* few distinct rows: one dual problem, solved on the driver;
-* a linear kernel, or a polynomial one whose explicit feature map is small:
-  MLlib's primal solver, a fixed number of aggregates whatever the row count;
-* any other kernel: exact decomposition. The driver solves the dual of a
-  working set of bounded size; a map over the rows adds the change to every
-  row's score. It ends when no row violates optimality by more than the
-  tolerance. Work grows with the number of support vectors;
+* a cascade of dual problems on the executors, see ``cascade``: exact to the
+  tolerance for any kernel. Work grows with the number of support vectors;
+* beyond ``WORKING_SET`` distinct rows, for a linear kernel or a polynomial one whose
+  explicit feature map is small: MLlib's primal solver, a fixed number of
+  aggregates whatever the row count;
 * ``approximation='nystrom'`` replaces the kernel by its projection on a fixed
   number of landmark rows and is approximate. It is never chosen by itself.
 """
@@ -22,45 +20,23 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramspan.functions import linear
+from gramspan.operators.cascade import Cascade, Kernel, against_all, violations, worst_rows
 from gramspan.operators.metrics import classification_metrics
-from gramspan.plans.gram import arrow_matrix
 from gramspan.session import RollingTable, durable
 from gramspan.sources import Features, TabularDataset
 
 KERNELS = ("linear", "polynomial", "rbf", "sigmoid")
-# Rows of one dual problem: its kernel block takes at most 32 MB.
+# Rows of a dual problem that is solved at once: its kernel block takes at most 32 MB.
 WORKING_SET = 2048
 # Terms of an explicit polynomial feature map.
 MAP_TERMS = 500
 # Support vectors applied per pass when they are too many for one closure.
 SUPPORT_CHUNK = 20_000
-_ALPHA_MIN = 1e-8
-
-
-@dataclass(frozen=True)
-class Kernel:
-    name: str = "rbf"
-    gamma: float = 1.0
-    degree: int = 3
-    coef0: float = 0.0
-
-    def block(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Kernel values of all rows of ``a`` against all rows of ``b``."""
-        if self.name == "rbf":
-            sq = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
-            return np.exp(-self.gamma * np.maximum(sq, 0.0))
-        dot = a @ b.T
-        if self.name == "linear":
-            return dot
-        if self.name == "polynomial":
-            return (self.gamma * dot + self.coef0) ** self.degree
-        return np.tanh(self.gamma * dot + self.coef0)
 
 
 def _map_powers(kernel: Kernel, d: int) -> list[tuple[int, ...]] | None:
@@ -240,47 +216,22 @@ class SVC:
             merged = rows.select("x", sign, F.lit(1).cast("long").alias("w"))
         if self.approximation == "nystrom" and self.kernel.name != "linear":
             return self._fit_nystrom(rows, features, n)
-        # The estimate only routes; at most one row too many is looked at.
-        small = None
-        if distinct <= WORKING_SET:
-            small = merged.limit(WORKING_SET + 1).collect()
-        if small is not None and len(small) <= WORKING_SET:
-            return self._fit_local(small, features)
-        powers = _map_powers(self.kernel, features.width)
-        if self.kernel.name == "linear":
-            weights, bias, steps = self._fit_primal(rows.select("x", sign), F.col("x"), n)
-            return SVCModel(features, self.kernel, bias, steps, self.tolerance, weights=weights)
-        if powers is not None:
-            x = [F.get("x", j) for j in range(features.width)]
-            mapped = F.array(*_map_columns(self.kernel, powers, x))
-            weights, bias, steps = self._fit_primal(rows.select("x", sign), mapped, n)
-            return SVCModel(
-                features, self.kernel, bias, steps, self.tolerance, weights=weights, powers=tuple(powers)
-            )
-        return self._fit_decomposition(merged, features)
+        if distinct > WORKING_SET:
+            powers = _map_powers(self.kernel, features.width)
+            if self.kernel.name == "linear":
+                weights, bias, steps = self._fit_primal(rows.select("x", sign), F.col("x"), n)
+                return SVCModel(features, self.kernel, bias, steps, self.tolerance, weights=weights)
+            if powers is not None:
+                x = [F.get("x", j) for j in range(features.width)]
+                mapped = F.array(*_map_columns(self.kernel, powers, x))
+                weights, bias, steps = self._fit_primal(rows.select("x", sign), mapped, n)
+                return SVCModel(
+                    features, self.kernel, bias, steps, self.tolerance, weights=weights, powers=tuple(powers)
+                )
+        return self._fit_cascade(merged, features, min(distinct, n))
 
     # --- solvers ------------------------------------------------------------
 
-    def _fit_local(self, rows, features):
-        x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), -1)
-        y = np.array([r["y"] for r in rows])
-        cap = self.c * np.array([r["w"] for r in rows], dtype=float)
-        u, v, steps = solve_dual(
-            self.kernel.block(x, x), y, cap, np.zeros(len(x)), y.copy(), self.tolerance, self._budget(len(x))
-        )
-        keep = np.abs(u) > _ALPHA_MIN
-        bias = _bias(u, v, y, cap)
-        if self.kernel.name == "linear":
-            return SVCModel(
-                features, self.kernel, bias, steps, self.tolerance, weights=u[keep] @ x[keep]
-            )
-        return SVCModel(
-            features, self.kernel, bias, steps, self.tolerance, vectors=x[keep], dual=u[keep]
-        )
-
-    def _budget(self, n: int) -> int:
-        return self.max_iter * max(n, 1)
-
     def _fit_primal(self, rows: DataFrame, mapped: Column, n: int):
         from pyspark.ml.classification import LinearSVC
         from pyspark.ml.functions import array_to_vector
@@ -327,59 +278,40 @@ class SVC:
             dual=half @ model.weights,
         )
 
-    def _fit_decomposition(self, merged, features):
-        """State per row: signed weight ``u``, and ``v`` = y - score."""
-        kernel, width = self.kernel, features.width
-        table = RollingTable(merged.sparkSession)
-        state = table.advance(
-            merged.select(
-                F.monotonically_increasing_id().alias("id"),
-                "x",
-                "y",
-                (F.col("w") * F.lit(self.c)).alias("cap"),
-                F.lit(0.0).alias("u"),
-                F.col("y").alias("v"),
+    def _fit_cascade(self, merged, features, distinct):
+        width, spark = features.width, merged.sparkSession
+        most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        leaves = min(-(-distinct // WORKING_SET), most)
+        # Dealt out by hash, so that every leaf sees a fair share of both classes.
+        dealt = merged.repartition(leaves, F.xxhash64("x"))
+        state = durable(
+            dealt.select(
+                F.monotonically_increasing_id().alias("id"), "x", "y", (F.col("w") * F.lit(self.c)).alias("cap")
             )
         )
-        # u may grow while below its upper bound, and shrink above its lower.
-        upper = F.when(F.col("y") > 0, F.col("cap")).otherwise(F.lit(0.0))
-        lower = F.when(F.col("y") > 0, F.lit(0.0)).otherwise(-F.col("cap"))
-        can_grow = F.col("u") < upper - F.col("cap") * 1e-12
-        can_shrink = F.col("u") > lower + F.col("cap") * 1e-12
-        quarter = WORKING_SET // 4
-        kept: dict[int, tuple] = {}
-        bias, rounds = 0.0, 0
-        for rounds in range(1, self.max_iter + 1):
-            grow = state.filter(can_grow).orderBy(F.desc("v"), "id").limit(quarter)
-            shrink = state.filter(can_shrink).orderBy("v", "id").limit(quarter)
-            worst = (
-                grow.withColumn("up", F.lit(True))
-                .unionByName(shrink.withColumn("up", F.lit(False)))
-                .collect()
-            )
-            top = max(r["v"] for r in worst if r["up"])
-            bottom = min(r["v"] for r in worst if not r["up"])
-            bias = (top + bottom) / 2.0
-            if top - bottom <= self.tolerance:
-                break
-            fresh = {r["id"]: (r["x"], r["y"], r["cap"], r["u"], r["v"]) for r in worst}
-            # Last round's violators stay in, which keeps rounds from undoing
-            # each other; their state is known here already.
-            rows = {**kept, **fresh}
-            ids = list(rows)
-            x, y, cap, old, v = (np.array(c, dtype=float) for c in zip(*rows.values(), strict=True))
-            u, v, _ = solve_dual(
-                kernel.block(x, x), y, cap, old, v, self.tolerance / 2.0, self._budget(len(ids))
-            )
-            solved = zip(ids, x, y, cap, u, v, strict=True)
-            kept = {i: tuple(rest) for i, *rest in solved if i in fresh}
-            state = table.advance(_apply_change(state, kernel, width, ids, x, u, u - old))
-        support = durable(state.filter(F.abs("u") > _ALPHA_MIN).select("id", "x", "u"))
-        table.close()
+        cascade = Cascade(self.kernel, self.tolerance, self.max_iter, WORKING_SET)
+        support, rounds = cascade.root(state, leaves, width), 0
+        if leaves == 1:
+            # The root has seen every row.
+            top, bottom = support.filter("id is null").select("y", "cap").head()
+        else:
+            table = RollingTable(spark)
+            for rounds in range(1, self.max_iter + 1):
+                scored = against_all(table, state, support, self.kernel, width, SUPPORT_CHUNK)
+                scored, top, bottom = violations(scored)
+                if top - bottom <= self.tolerance:
+                    break
+                worst = worst_rows(scored, (top + bottom) / 2.0, self.tolerance, 2 * WORKING_SET)
+                support = cascade.again(support, worst, width)
+            table.close()
+        support = support.filter("id is not null")
         n_support = support.count()
         if n_support == 0:
             raise ValueError("no support vectors found")
-        model = SVCModel(features, kernel, float(bias), rounds, self.tolerance)
+        model = SVCModel(features, self.kernel, (top + bottom) / 2.0, rounds, self.tolerance)
+        if self.kernel.name == "linear":
+            sums = support.agg(*[F.sum(F.col("u") * F.get("x", j)).alias(f"w{j}") for j in range(width)])
+            return replace(model, weights=np.array(sums.head(), dtype=float))
         if n_support <= SUPPORT_CHUNK:
             local = support.select("x", "u").collect()
             return replace(
@@ -392,65 +324,6 @@ class SVC:
         return replace(model, support=durable(support.select("x", F.col("u").alias("dual"), chunk)))
 
 
-def _apply_change(state, kernel, width, ids, x, u, change) -> DataFrame:
-    moved = np.flatnonzero(change)
-    vectors, delta = x[moved], change[moved]
-    order = moved[np.argsort(np.array(ids)[moved])]
-    moved_ids, moved_u = np.array(ids, dtype=np.int64)[order], u[order]
-
-    def run(batches):
-        for batch in batches:
-            block, _ = arrow_matrix(batch.column("x"), width)
-            v = batch.column("v").to_numpy() - kernel.block(block, vectors) @ delta
-            new = batch.column("u").to_numpy().copy()
-            keys = batch.column("id").to_numpy()
-            spot = np.minimum(np.searchsorted(moved_ids, keys), len(moved_ids) - 1)
-            hit = moved_ids[spot] == keys
-            new[hit] = moved_u[spot[hit]]
-            cols = {name: batch.column(name) for name in batch.schema.names}
-            cols["u"], cols["v"] = pa.array(new), pa.array(v)
-            yield pa.RecordBatch.from_pydict(cols)
-
-    return state.mapInArrow(run, "id long, x array<double>, y double, cap double, u double, v double")
-
-
-def solve_dual(kernel, y, cap, u, v, tolerance, budget):
-    """Pairwise ascent on the dual of one working set.
-
-    ``u`` is the signed weight, bounded by 0 and ``y * cap``; ``v`` is the label
-    minus the score without intercept. The sum of ``u`` is kept. Each step moves
-    the most violating row against the partner with the largest gain.
-    """
-    u, v = u.astype(float).copy(), v.astype(float).copy()
-    low, high = np.minimum(0.0, y * cap), np.maximum(0.0, y * cap)
-    slack = cap * 1e-12
-    diag = np.diag(kernel)
-    steps = 0
-    for steps in range(1, budget + 1):
-        grow, shrink = u < high - slack, u > low + slack
-        if not grow.any() or not shrink.any():
-            break
-        i = int(np.argmax(np.where(grow, v, -np.inf)))
-        gap = v[i] - v
-        ok = shrink & (gap > 0)
-        if not ok.any() or gap[shrink].max() <= tolerance:
-            break
-        curve = np.maximum(diag[i] + diag - 2.0 * kernel[i], 1e-12)
-        j = int(np.argmax(np.where(ok, gap * gap / curve, -np.inf)))
-        move = min(gap[j] / curve[j], high[i] - u[i], u[j] - low[j])
-        u[i] += move
-        u[j] -= move
-        v -= move * (kernel[i] - kernel[j])
-    return u, v, steps
-
-
-def _bias(u, v, y, cap) -> float:
-    slack = cap * 1e-12
-    grow = u < np.maximum(0.0, y * cap) - slack
-    shrink = u > np.minimum(0.0, y * cap) + slack
-    return float((v[grow].max() + v[shrink].min()) / 2.0)
-
-
 def svc_sweep(train: TabularDataset, test: TabularDataset, models: Iterable[tuple[str, SVC]]) -> DataFrame:
     """``model, train_accuracy, test_accuracy, n_support`` per setting."""
     # Only what the fits read is held; both sides may be the same frame.
