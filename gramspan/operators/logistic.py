@@ -15,9 +15,8 @@ from gramspan.operators.metrics import classification_metrics, log_loss, log_los
 from gramspan.plans.gram import arrow_matrix
 from gramspan.sources import Features, TabularDataset
 
-# Distinct feature vectors times width up to which the descent runs on the
-# driver: at most 8 MB, whatever the number of rows.
-DRIVER_CELLS = 1_000_000
+# Numbers of merged rows that one task holds for the whole descent: 256 MB.
+TASK_CELLS = 32_000_000
 _CLIP = 1e-15
 
 
@@ -74,8 +73,10 @@ class LogisticRegression:
 
     ``solver='gd'`` returns the iterate at the stopping rule, which is the
     contract for small learning rates. Equal feature vectors are merged into
-    one weighted row first; if few remain the descent runs on them locally,
-    otherwise every step is one aggregate over the cached frame.
+    one weighted row first. Merged rows that fit into a task's memory are read
+    once, by one task that takes all steps; more rows take one aggregate per step.
+    (Tasks of a barrier stage could exchange their sums instead, but an exchange
+    takes most of a second, more than an aggregate.)
     ``solver='mle'`` returns the maximum-likelihood fit (MLlib) instead, in a
     few dozen passes.
     """
@@ -124,26 +125,43 @@ class LogisticRegression:
         )
         weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            small = distinct * features.width <= DRIVER_CELLS
-            # The estimate only routes; the exact count decides.
-            if small and weighted.count() * features.width <= DRIVER_CELLS:
-                local = weighted.collect()
-                x = np.array([r["x"] for r in local], dtype=float).reshape(len(local), -1)
-                w = np.array([r["w"] for r in local], dtype=float)
-                pos = np.array([r["pos"] for r in local], dtype=float)
-
-                def evaluate(theta):
-                    return _loss_and_gradient(x, w, pos, theta)
+            m = weighted.count()
+            if m * (features.width + 2) <= TASK_CELLS:
+                theta, steps = self._descent_in_task(weighted, features.width, n)
             else:
-
-                def evaluate(theta):
-                    return _distributed_step(weighted, theta, features.width)
-
-            theta, steps = self._descend(evaluate, features.width, n)
+                theta, steps = self._job_per_step(weighted, features.width, n)
         finally:
             weighted.unpersist()
         return LogisticModel(features, theta[1:], float(theta[0]), steps)
 
+    def _job_per_step(self, weighted, width, n):
+        try:
+            return self._descend(lambda theta: _distributed_step(weighted, theta, width), width, n)
+        except FloatingPointError as e:
+            raise ValueError(str(e)) from e
+
+    def _descent_in_task(self, weighted, width, n):
+        def run(batches):
+            none = np.zeros(0)
+            parts = [(none.reshape(0, width), none, none)]
+            for b in batches:
+                parts.append((arrow_matrix(b.column(0), width)[0], *(b.column(c).to_numpy() for c in (1, 2))))
+            x, w, pos = (np.concatenate(c) for c in zip(*parts, strict=True))
+            try:
+                theta, steps = self._descend(lambda v: _loss_and_gradient(x, w, pos, v), width, n)
+            except FloatingPointError:
+                theta, steps = np.full(width + 1, np.nan), 0
+            yield pa.RecordBatch.from_pydict(
+                {"theta": pa.array([theta], pa.list_(pa.float64())), "steps": pa.array([steps], pa.int32())}
+            )
+
+        rows = weighted.select("x", F.col("w").cast("double"), F.col("pos").cast("double")).repartition(1)
+        found = rows.mapInArrow(run, "theta array<double>, steps int").head()
+        theta = np.array(found["theta"], dtype=float)
+        if np.isnan(theta).any():
+            raise ValueError("gradient descent diverged")
+        return theta, found["steps"]
+
     def _descend(self, evaluate, width, n):
         theta = np.zeros(width + 1)
         previous, calm = np.inf, 0
@@ -151,7 +169,7 @@ class LogisticRegression:
             loss, gradient = evaluate(theta)
             loss /= n
             if not np.isfinite(loss):
-                raise ValueError("gradient descent diverged")
+                raise FloatingPointError("gradient descent diverged")
             calm = calm + 1 if abs(previous - loss) < self.tolerance else 0
             if calm > 10:
                 return theta, step

@@ -15,7 +15,7 @@ CURED = [0, 0, 1, 0, 1, 1, 1]
 @pytest.mark.parametrize("cells", [0, 1_000_000])
 @pytest.mark.parametrize("intercept", [True, False])
 def test_logistic_matches_plain_descent(spark, monkeypatch, cells, intercept):
-    monkeypatch.setattr(logistic_module, "DRIVER_CELLS", cells)
+    monkeypatch.setattr(logistic_module, "TASK_CELLS", cells)
     steps = 1000 if cells else 12
     ds = from_rows(spark, DOSES * 3, CURED * 3)
     m = LogisticRegression(max_iterations=steps, fit_intercept=intercept).fit(ds)
@@ -24,6 +24,28 @@ def test_logistic_matches_plain_descent(spark, monkeypatch, cells, intercept):
     np.testing.assert_allclose(got, want, rtol=1e-9)
 
 
+def test_logistic_descends_in_one_task(spark):
+    """A fit of few merged rows is a fixed number of jobs, whatever the steps."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 2, (150, 3))
+    y = (x @ [1.0, -2.0, 0.5] + rng.normal(0, 1, 150) > 0.3).astype(float)
+    ds = from_rows(spark, x.tolist(), y.tolist())
+    spark.sparkContext.setJobGroup("descent", "one fit")
+    m = LogisticRegression(max_iterations=300).fit(ds)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("descent"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = brute.logistic_gd(x, y, steps=300)
+    np.testing.assert_allclose([m.intercept, *m.coefficients], want, rtol=1e-9)
+    assert jobs <= 8
+
+
+@pytest.mark.parametrize("cells", [0, 1_000_000])
+def test_logistic_divergence_is_an_error(spark, monkeypatch, cells):
+    monkeypatch.setattr(logistic_module, "TASK_CELLS", cells)
+    with pytest.raises(ValueError, match="diverged"):
+        LogisticRegression(learning_rate=1e308).fit(from_rows(spark, [[1e300], [1e300], [-1e300]], [1, 0, 0]))
+
+
 def test_logistic_early_stop(spark):
     ds = from_rows(spark, [[0.0], [0.0]], [0, 1])
     m = LogisticRegression().fit(ds)
