@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramspan.functions import euclidean, manhattan
+from gramspan.operators.reachability import count_clusters
 from gramspan.plans.components import connected_components, least_node
 from gramspan.plans.gram import arrow_matrix
 from gramspan.plans.neighbours import (
@@ -473,13 +474,29 @@ def dbscan_sweep(
 ) -> DataFrame:
     """``eps, min_samples, n_clusters, n_noise, n_core`` per combination.
 
-    The rows are numbered once for all of them.
+    All combinations come from one set of distances, see ``reachability``. Row
+    order does not matter to the counts.
     """
-    base = index_rows(ds)
+    settings = [(DBSCAN(e, m, metric).eps, int(m)) for e, m in grid]
+    base = ds.df.select(ds.features.vector().alias("x"))
+    finite = F.forall("x", lambda v: F.abs(v) < float("inf"))
+    seen = base.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("x").isNull() | F.exists("x", lambda v: v.isNull())).alias("bad"),
+        F.count_if(~finite).alias("odd"),
+    ).head()
+    if seen["n"] == 0:
+        raise ValueError("input must have at least one sample")
+    if seen["bad"]:
+        raise ValueError("null in a feature column")
     rows = []
-    for eps, min_samples in grid:
-        s = DBSCAN(eps, min_samples, metric).fit_indexed(ds, base).summary().head()
-        rows.append((float(eps), int(min_samples), s["n_clusters"], s["n_noise"], s["n_core"]))
+    if settings:
+        unique = durable(base.filter(finite).groupBy("x").agg(F.count(F.lit(1)).alias("w")))
+        points = durable(unique.withColumn("id", F.monotonically_increasing_id()))
+        counts = [(0, 0, 0)] * len(settings)
+        if seen["n"] > seen["odd"]:
+            counts = count_clusters(points, ds.features.width, settings, metric)
+        rows = [(*s, c, noise + seen["odd"], core) for s, (c, noise, core) in zip(settings, counts, strict=True)]
     return ds.df.sparkSession.createDataFrame(
         rows, "eps double, min_samples int, n_clusters long, n_noise long, n_core long"
     )
