@@ -1,8 +1,10 @@
 """Connected components of an edge table.
 
-Edges are first reduced to star forests inside each task. What is left goes
-through alternating large-star and small-star rounds until every node points at
-the least node of its component. No edge reaches the driver.
+Edges are reduced to star forests inside each task, and what is left is dealt out
+to fewer tasks, as many as it fills, and reduced again. Where that no longer
+helps, because most nodes have edges in many tasks, alternating large-star and
+small-star rounds go on until every node points at the least node of its
+component. No edge reaches the driver.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from gramspan.session import RollingTable, durable
 
 # Edges a task holds while reducing its part.
 TASK_EDGES = 1_000_000
+# Share of the edges that a reduction must fall below to be worth another.
+_SHRINKS = 0.7
+_EDGES = "a long, b long"
 
 
 def least_node(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,10 +76,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns
     pairs = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-    forest = durable(pairs.filter("a != b").mapInArrow(_forest, "a long, b long").distinct())
-    table = RollingTable(edges.sparkSession)
+    forest = durable(pairs.filter("a != b").mapInArrow(_forest, _EDGES).distinct())
     stars, before = forest, _fingerprint(forest)
-    while before[0]:
+    shrinking = before[0] > 0
+    while shrinking:
+        # Dealt out to as many tasks as the edges fill; one task that holds them all is done.
+        tasks = -(-before[0] // TASK_EDGES)
+        stars = durable(stars.repartition(tasks).mapInArrow(_forest, _EDGES).distinct())
+        if tasks == 1:
+            break
+        after = _fingerprint(stars)
+        shrinking, before = after[0] < _SHRINKS * before[0], after
+    if before[0] and not shrinking:
+        stars = _star_rounds(stars, before)
+    roots = stars.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
+
+
+def _star_rounds(stars: DataFrame, before: tuple) -> DataFrame:
+    """Alternating rounds until nothing changes."""
+    table = RollingTable(stars.sparkSession)
+    while True:
         stars = table.advance(_small_star(_large_star(stars, before[0]), before[0]))
         after = _fingerprint(stars)
         if after == before:
@@ -82,8 +104,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         before = after
     stars = durable(stars)
     table.close()
-    roots = stars.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
-    return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
+    return stars
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
