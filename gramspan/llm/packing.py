@@ -20,6 +20,7 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +29,11 @@ from gramspan.llm.common import stored, texts
 from gramspan.llm.hashing import Block
 
 # Pieces and tokens that a task packs together.
-HOLD_PIECES, HOLD_TOKENS = 16_384, 8_000_000
+HOLD_PIECES, HOLD_TOKENS = 16_384, 4_000_000
 # Different words whose ids a worker remembers, before it starts anew.
-PARTS = 300_000
+PARTS = 200_000
 # Text that is tokenised together; a longer one alone.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20
 END = 1
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -185,10 +186,10 @@ class WordEncoder:
             self.last[[i for s, i in vocabulary.items() if s.endswith(self.plain)]] = True
 
     def _parts(self, block: Block) -> tuple[np.ndarray, ...]:
-        """Bytes, starts and ends of the parts of words, and which ones only the tokenizer can encode."""
+        """Bytes, starts and ends of the parts of words, which ones only the tokenizer can encode, first parts of words."""
         start, end = block.start, block.end
         if not self.plain:
-            return block.bytes, start, end, np.ones(len(start), bool)
+            return block.bytes, start, end, np.ones(len(start), bool), np.arange(len(start))
         data = _FOLD[block.bytes]
         kind = _KIND[data]
         lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC8))
@@ -207,13 +208,14 @@ class WordEncoder:
         at = np.repeat(start - (np.cumsum(end - start) - (end - start)), end - start) + np.arange(len(inside))
         first = word[at] > 0
         cut = (kind[at] != kind[at - 1]) | (kind[at] == _DIGIT)
-        begins = at[first | (cut & ~inside)]
+        mark = np.flatnonzero(first | (cut & ~inside))
+        begins, first = at[mark], first[mark]
         # Words that are left to the tokenizer keep their case.
         data[at[inside]] = block.bytes[at[inside]]
+        lead = np.flatnonzero(first)
         ends = np.append(begins[1:], 0)
-        last = np.searchsorted(begins, end) - 1
-        ends[last] = end
-        return data, begins, ends, strange[np.searchsorted(start, begins, "right") - 1]
+        ends[np.append(lead[1:], len(begins)) - 1] = end
+        return data, begins, ends, strange[np.cumsum(first) - 1], lead
 
     def encode(self, body: list[bytes]) -> list[np.ndarray]:
         """For each text, its ids and ``END``, as little-endian unsigned 32-bit numbers."""
@@ -221,7 +223,7 @@ class WordEncoder:
         block.words()
         if not len(block.start):
             return [np.array([END], "<u4")] * len(body)
-        data, start, end, strange = self._parts(block)
+        data, start, end, strange, part = self._parts(block)
         length = end - start
         ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
         at = np.repeat(start - ends[:-1], length) + np.arange(ends[-1])
@@ -235,7 +237,6 @@ class WordEncoder:
         many, first = self.sizes[place][code], self.first[place][code]
         upto = np.cumsum(many)
         flat = self.ids[np.repeat(first - (upto - many), many) + np.arange(upto[-1])]
-        part = np.searchsorted(start, block.start)
         cuts = np.concatenate([[0], upto])[np.append(part, len(code))[np.append(block.word0, len(part))]]
         flat = np.insert(flat, cuts[1:], END).astype("<u4")
         cuts += np.arange(len(cuts))
@@ -366,12 +367,11 @@ _TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[list, list[bytes]]]:
     """Runs of rows with about ``TEXT_BYTES`` of text."""
-    ids, body = (c.to_pylist() for c in batch.columns)
-    upto = np.cumsum([len(t) for t in body])
-    cuts = [0, *(np.flatnonzero(np.diff((upto - 1) // TEXT_BYTES)) + 1).tolist(), len(body)]
+    upto = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff((upto - 1) // TEXT_BYTES)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if a < b:
-            yield ids[a:b], body[a:b]
+            yield tuple(c.to_pylist() for c in batch.slice(a, b - a).columns)
 
 
 def _batches(sequences: Iterator[list[tuple]]) -> Iterator[pa.RecordBatch]:
