@@ -252,6 +252,21 @@ def r2(spark, sf):
     return _regression(spark, sf).select(r("r2").alias("r2"))
 
 
+@query(
+    """WITH guess AS (SELECT l_partkey, avg(l_extendedprice / l_quantity) AS g FROM lineitem GROUP BY l_partkey),
+d AS (SELECT p_retailprice AS t, g AS p FROM part JOIN guess ON p_partkey = l_partkey)
+SELECT count(*) AS n, round(avg((t - p) * (t - p)), 4) + 0.0 AS mse, round(avg(abs(t - p)), 4) + 0.0 AS mae,
+  round(1 - sum((t - p) * (t - p)) / (count(*) * var_pop(t)), 4) + 0.0 AS r2 FROM d"""
+)
+def paired_metrics(spark, sf):
+    """Labels and predictions from two tables, paired one to one by key."""
+    guess = read_table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"))
+    guess = guess.agg(F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("guess"))
+    both = metrics.pair(read_table(spark, sf, "part"), guess, "p_partkey", "p_retailprice", "guess")
+    found = metrics.regression_metrics(both, "y_true", "y_pred")
+    return found.select("n", *[r(c, 4).alias(c) for c in ("mse", "mae", "r2")])
+
+
 def _classification(spark, sf) -> DataFrame:
     df = read_table(spark, sf, "labels")
     return metrics.classification_metrics(df, "quality", 1 - F.col("toxic"))
@@ -745,13 +760,14 @@ def svc_nystrom(spark, sf):
 @query(
     f"""WITH {_GAP_SQL}, c(model) AS (VALUES ('C=0.1'), ('C=1'), ('C=10'))
 SELECT model, CAST((SELECT lo < hi FROM e) AS DOUBLE) AS train_accuracy,
-  CAST((SELECT lo < hi FROM e) AS DOUBLE) AS test_accuracy FROM c"""
+  CAST((SELECT lo < hi FROM e) AS DOUBLE) AS test_accuracy,
+  (SELECT count(*) FROM d, e WHERE x = lo OR x = hi) AS n_support FROM c"""
 )
 def svc_c_sweep(spark, sf):
     ds = _gap(spark, sf)
     _, test = ds.train_test_split(0.3)
-    table = c_sweep(ds, test, [0.1, 1.0, 10.0], kernel="linear")
-    return table.select("model", "train_accuracy", "test_accuracy")
+    table = c_sweep(ds, test, [0.1, 1.0, 10.0], kernel="linear", tolerance=1e-6)
+    return table.select("model", "train_accuracy", "test_accuracy", "n_support")
 
 
 @query(

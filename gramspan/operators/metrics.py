@@ -1,11 +1,14 @@
 """Regression and classification metrics over two columns of one DataFrame.
 
 All of a family's metrics come from one aggregate; each public function picks
-its number from it. Rows are paired by construction, so lengths always agree.
+its number from it. Rows are paired by construction, so lengths always agree;
+``pair`` makes one DataFrame of labels and predictions that live in two.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +25,37 @@ def _whole(n: Column, nulls: Column) -> Column:
     return F.when(nulls > 0, F.raise_error(F.lit("null label or prediction")).cast("long")).otherwise(n)
 
 
+def pair(truth: DataFrame, predicted: DataFrame, key: str | Sequence[str], label: str, prediction: str) -> DataFrame:
+    """The key columns with ``y_true`` and ``y_pred``, paired one to one by key.
+
+    A key that is null in part, missing on a side or repeated on one stops the query that
+    reads either value. It is found by the shuffle that brings the pairs together:
+    rows of both sides are counted per key, which is pre-aggregated, so that not
+    even a key with very many rows gathers them in one task.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    rows = truth.select(*keys, _col(label).alias("t"), F.lit(1).alias("of_t"), F.lit(None).cast("double").alias("p"))
+    other = predicted.select(*keys, F.lit(None).cast("double").alias("t"), F.lit(0).alias("of_t"), _col(prediction).alias("p"))
+    held = rows.unionByName(other).toDF(*[f"k{i}" for i in range(len(keys))], "t", "of_t", "p")
+    named = [f"k{i}" for i in range(len(keys))]
+    both = held.groupBy(*named).agg(
+        F.sum("of_t").alias("n_t"), F.sum(1 - F.col("of_t")).alias("n_p"), F.max("t").alias("t"), F.max("p").alias("p")
+    )
+    broken = F.lit(False)
+    for k in named:
+        broken = broken | F.col(k).isNull()
+    text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in named])
+    problem = (
+        F.when(broken, F.lit("a key is null"))
+        .when(F.col("n_t") == 0, F.lit("a prediction has no label"))
+        .when(F.col("n_p") == 0, F.lit("a label has no prediction"))
+        .when((F.col("n_t") > 1) | (F.col("n_p") > 1), F.lit("a key is repeated"))
+    )
+    stop = F.raise_error(F.concat(problem, F.lit(": "), text)).cast("double")
+    checked = [F.when(problem.isNotNull(), stop).otherwise(F.col(c)).alias(n) for c, n in (("t", "y_true"), ("p", "y_pred"))]
+    return both.select(*[F.col(k).alias(n) for k, n in zip(named, keys, strict=True)], *checked)
+
+
 def regression_metrics(df: DataFrame, y_true, y_pred) -> DataFrame:
     """One row ``n, mse, mae, r2`` in a single pass.
 

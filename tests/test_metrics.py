@@ -74,3 +74,28 @@ def test_nulls_are_an_error(spark):
             run(df, "t", "p")
     with pytest.raises(Exception, match="null label"):
         metrics.confusion_counts(df, "t", "p").collect()
+
+
+def test_pairing_of_two_frames(spark):
+    truth = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (2, "b", 4.0)], "i int, k string, y double")
+    guess = spark.createDataFrame([(2, "b", 4.5), (1, "a", 1.0), (2, "a", 2.5)], "i int, k string, t double")
+    got = metrics.pair(truth, guess, ["i", "k"], "y", "t")
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 1.0, 1.0), (2, "a", 2.0, 2.5), (2, "b", 4.0, 4.5)]
+    assert metrics.mean_absolute_error(got, "y_true", "y_pred") == pytest.approx(1 / 3)
+
+
+@pytest.mark.parametrize(
+    "labels, guesses, why",
+    [
+        ([1, 2], [1], "no prediction"),
+        ([1], [1, 2], "no label"),
+        ([1, 1], [1], "repeated"),
+        ([1, 2], [1, 2, 2], "repeated"),
+        ([None], [None], "null"),
+    ],
+)
+def test_pairing_errors(spark, labels, guesses, why):
+    truth = spark.createDataFrame([(k, 1.0) for k in labels], "k int, y double")
+    guess = spark.createDataFrame([(k, 1.0) for k in guesses], "k int, p double")
+    with pytest.raises(Exception, match=why):
+        metrics.mean_squared_error(metrics.pair(truth, guess, "k", "y", "p"), "y_true", "y_pred")
