@@ -6,7 +6,7 @@ neighbouring cells are joined. A box wholly inside or outside the radius is
 settled at once; what straddles it is settled on points, and pairs of crowded
 cells by subdividing both, so no crowded cell is ever paired point by point.
 
-High dimension: blocks of bounded size from neighbouring coarse cells are
+High dimension: blocks of bounded size from neighbouring coarse cells and balls are
 compared with one matrix product each, and only per-point results leave a task.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramspan.functions import linear
-from gramspan.plans.gram import moments
+from gramspan.plans.gram import arrow_matrix, moments
 from gramspan.plans.skew import hot_keys, skew_join
 from gramspan.session import durable
 from gramspan.sources import Features
@@ -33,6 +33,8 @@ GRID_WIDTH = 3
 DIRECT_PAIRS = 4096
 # Points per block in the blocked comparison.
 BLOCK_ROWS = 1024
+# Balls that points are parted into, and points that their centres are chosen from.
+BALLS, SAMPLE = 256, 16_384
 
 
 # --- metric on columns ----------------------------------------------------
@@ -142,14 +144,55 @@ class Grid:
 # --- blocks ---------------------------------------------------------------
 
 
+def ball_centres(sample: np.ndarray, share: float) -> np.ndarray:
+    """Centres of a tree of balls over a sample, each sampled point standing for ``share`` points.
+
+    The ball with the most points is split between a far point and the one
+    farthest from that, until no ball holds more than a block or there are ``BALLS``.
+    """
+    balls, open_ = [], [sample]
+    while open_ and len(balls) + len(open_) < BALLS:
+        open_.sort(key=len)
+        points = open_.pop()
+        far = points[((points - points.mean(axis=0)) ** 2).sum(axis=1).argmax()]
+        other = points[((points - far) ** 2).sum(axis=1).argmax()]
+        near = ((points - far) ** 2).sum(axis=1) < ((points - other) ** 2).sum(axis=1)
+        if len(points) * share <= BLOCK_ROWS or near.all() or not near.any():
+            balls.append(points)
+        else:
+            open_ += [points[near], points[~near]]
+    return np.array([x.mean(axis=0) for x in balls + open_])
+
+
+def _in_balls(points: DataFrame, d: int, centres: np.ndarray) -> DataFrame:
+    """``points`` with the nearest centre as ``ball`` and the distance to it as ``gap``."""
+    names = points.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
+
+    def run(batches):
+        for batch in batches:
+            x, _ = arrow_matrix(batch.column("x"), d)
+            # Only the choice comes from products, which lose digits; the distance is computed plainly.
+            score = (centres * centres).sum(axis=1)[None, :] - 2.0 * (x @ centres.T)
+            ball = score.argmin(axis=1)
+            gap = np.sqrt(((x - centres[ball]) ** 2).sum(axis=1))
+            columns = [*batch.columns, pa.array(ball.astype(np.int32)), pa.array(gap)]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "ball", "gap"])
+
+    return points.mapInArrow(run, schema + ", ball int, gap double")
+
+
 class Blocks:
     """Blocks of bounded size over ``points`` (``id``, ``x``), and which pairs
     of blocks to compare.
 
-    Coarse cells of side ``eps`` along the principal directions decide which
-    blocks can hold points within ``eps``: a projection on a unit vector never
-    lengthens a distance, in either metric. A crowded cell becomes as many
-    blocks as it needs.
+    Two partitions decide which blocks can hold points within ``eps``. Coarse
+    cells of side ``eps`` along the principal directions: a projection on a unit
+    vector never lengthens a distance, in either metric. And balls around
+    pivots, which separate clusters in all directions: by the triangle inequality
+    two balls are apart if their centres are farther than both radii and ``eps``. A
+    crowded part becomes as many blocks as it needs. The pivots come from a
+    sample of bounded size; every point is in its block, so the choice matters to the time alone.
     """
 
     def __init__(self, points: DataFrame, d: int, eps: float):
@@ -157,8 +200,14 @@ class Blocks:
         _, axes = np.linalg.eigh(whole.centered())
         axes = axes.T[::-1][:GRID_WIDTH]
         cells = [f"c{i}" for i in range(len(axes))]
+        step = max(int(whole.n) // SAMPLE, 1)
+        some = points.filter(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).orderBy(F.xxhash64("id")).limit(2 * SAMPLE)
+        sample = np.array([r["x"] for r in some.select("x").collect()], dtype=float).reshape(-1, d)
+        if not len(sample):
+            sample = np.asarray(whole.mean, dtype=float).reshape(1, d)
+        centres = ball_centres(sample, float(whole.n) / len(sample))
         # Coordinates along unit vectors; the slack absorbs their rounding.
-        placed = points.withColumns(
+        placed = _in_balls(points, d, centres).withColumns(
             {
                 c: F.floor(
                     linear(F.col("x"), axis, -float(axis @ whole.mean)) / F.lit(eps * (1 + 1e-6))
@@ -166,26 +215,39 @@ class Blocks:
                 for c, axis in zip(cells, axes, strict=True)
             }
         )
-        counts = placed.groupBy(*cells).agg(F.count(F.lit(1)).alias("size"))
+        place = [*cells, "ball"]
+        counts = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("size"), F.max("gap").alias("radius"))
         counts = durable(
             counts.withColumn("parts", F.ceil(F.col("size") / F.lit(BLOCK_ROWS)).cast("long"))
         )
         part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
         blocks = durable(
-            counts.select(*cells, part.alias("part")).withColumn(
+            counts.select(*place, "radius", part.alias("part")).withColumn(
                 "block", F.monotonically_increasing_id()
             )
         )
-        hot = hot_keys(counts, cells, "size", whole.n)
-        split = skew_join(placed, counts.select(*cells, "parts"), cells, hot).withColumn(
+        hot = hot_keys(counts, place, "size", whole.n)
+        split = skew_join(placed.drop("gap"), counts.select(*place, "parts"), place, hot).withColumn(
             "part", F.pmod(F.xxhash64("id"), F.col("parts"))
         )
-        self.points = split.join(blocks, [*cells, "part"]).drop(*cells, "part", "parts")
+        self.points = split.join(blocks.drop("radius"), [*place, "part"]).drop(*place, "part", "parts")
         near = list(itertools.product((-1, 0, 1), repeat=len(cells)))
-        left = blocks.select(F.col("block").alias("a"), *cells, F.explode(_steps(near)).alias("_o"))
+        side = lambda s: [F.col(c).alias(c + s) for c in ("ball", "radius")]
+        left = blocks.select(F.col("block").alias("a"), *cells, *side("_a"), F.explode(_steps(near)).alias("_o"))
         left = left.withColumns({c: F.col(c) + F.get("_o", i) for i, c in enumerate(cells)})
-        right = blocks.select(F.col("block").alias("b"), *cells)
-        self.pairs = durable(left.join(right, cells).filter("a <= b").select("a", "b"))
+        right = blocks.select(F.col("block").alias("b"), *cells, *side("_b"))
+        # At most BALLS * BALLS distances.
+        apart = np.sqrt(np.maximum(((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2), 0.0))
+        gaps = F.broadcast(
+            points.sparkSession.createDataFrame(
+                [(int(i), int(j), float(apart[i, j])) for i in range(len(centres)) for j in range(len(centres))],
+                "ball_a int, ball_b int, between double",
+            )
+        )
+        met = left.join(right, cells).filter("a <= b").join(gaps, ["ball_a", "ball_b"])
+        slack = eps * (1 + 1e-6) + 1e-9 * float(apart.max(initial=0.0))
+        reach = (F.col("radius_a") + F.col("radius_b")) * (1 + 1e-9) + F.lit(slack)
+        self.pairs = durable(met.filter(F.col("between") <= reach).select("a", "b"))
 
     def compare(self, points: DataFrame, columns: list[str], fn, schema: str) -> DataFrame:
         """``fn(left, right)`` for every block pair, as Arrow tables.

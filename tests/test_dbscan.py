@@ -131,3 +131,32 @@ def test_component_rounds_on_a_long_chain(spark):
     got = {r["node"]: r["label"] for r in out}
     for part in (perm[:121], perm[121:]):
         assert {got[int(v)] for v in part} == {int(part.min())}
+
+
+def test_balls_part_clusters():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(0, 20, (12, 8))
+    x = np.concatenate([c + rng.normal(0, 0.3, (200, 8)) for c in centres])
+    found = neighbours.ball_centres(x, 4.0)
+    near = np.sqrt(((found[:, None, :] - centres[None]) ** 2).sum(axis=2)).min(axis=1)
+    assert 12 <= len(found) <= neighbours.BALLS and (near < 2).mean() >= 0.8
+    assert neighbours.ball_centres(np.zeros((5, 3)), 1e9).tolist() == [[0.0, 0.0, 0.0]]
+
+
+@pytest.mark.parametrize("rows", [1024, 40])
+def test_blocks_miss_no_pair_and_skip_most(spark, monkeypatch, rows):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", rows)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 6, (15, 7))
+    x = np.concatenate([c + rng.normal(0, 0.4, (30, 7)) for c in centres])
+    data = [(i, 1, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(data, "id long, w long, x array<double>")
+    blocks = neighbours.Blocks(df, 7, 1.2)
+    block = {r["id"]: r["block"] for r in blocks.points.select("id", "block").collect()}
+    pairs = {(r["a"], r["b"]) for r in blocks.pairs.collect()}
+    assert len(block) == len(x)
+    close = np.argwhere(brute.distances(x) <= 1.2)
+    assert all(tuple(sorted((block[i], block[j]))) in pairs for i, j in close)
+    n = len(set(block.values()))
+    if rows == 40:
+        assert n >= 12 and len(pairs) < 0.35 * n * (n + 1) / 2
