@@ -199,6 +199,21 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return texts(benchmark.filter("item_id is not null"), "item_id").mapInArrow(read, _ITEM)
 
 
+def longest_run(places) -> int:
+    """Most consecutive numbers among ``places``."""
+    at = np.sort(np.fromiter(places, np.int64, len(places)))
+    if not len(at):
+        return 0
+    return int(np.diff(np.flatnonzero(np.append(np.append(True, np.diff(at) != 1), True))).max())
+
+
+def _restored(state: dict) -> Index:
+    """The index of plain values that were sent to a worker; it needs no copy of this package."""
+    index = Index.__new__(Index)
+    index.__dict__.update(state)
+    return index
+
+
 class Index:
     """The windows of a block of benchmark items, to look documents' windows up in."""
 
@@ -212,6 +227,7 @@ class Index:
             for how, at, hashes in ((0, r["at"], r["w"]), (1, r["fold_at"], r["fold"]), (2, [0], r["inside"])):
                 for q, w in zip(at, hashes, strict=False):
                     self.places[w].append((i, q, how))
+        self.places = dict(self.places)
         self.hashes = np.array(sorted(self.places), np.int64)
         self.lengths = sorted({r["length"] for r in rows})
         self.marks = np.zeros(1 << 20, bool)
@@ -227,7 +243,7 @@ class Index:
         """``text, item_id, windows, slots, changed`` of each leak, the longest alignment of each pair."""
         c = Canonical(body)
         runs = defaultdict(set)
-        templates = defaultdict(set)
+        templates, verbatim = defaultdict(set), defaultdict(set)
         for length in self.lengths:
             for at, w in (c.windows(length), c.folded(length)):
                 hit = self.known(w)
@@ -237,8 +253,7 @@ class Index:
                             continue
                         run = int(c.owner[p]), item, p - q
                         runs[run].add((q, length))
-                        if how != 1:
-                            templates[run].add(q)
+                        (verbatim if how == 1 else templates)[run].add(q)
         best = {}
         for (text, item, shift), windows in runs.items():
             item_id, n, n_folded, value, kind = self.items[item]
@@ -246,7 +261,7 @@ class Index:
             if not (n and len(form) >= min(RUN, n)) and len(windows) < min(RUN, n_folded):
                 continue
             tokens = sorted({q + i for q, length in windows for i in range(length)})
-            there, back, changed, slots = {}, {}, 0, 0
+            there, back, changed, slots, consistent = {}, {}, 0, 0, True
             for q in tokens:
                 if kind[q] == WORD:
                     continue
@@ -254,8 +269,9 @@ class Index:
                 slots += 1
                 changed += a != b
                 if there.setdefault((kind[q], a), b) != b or back.setdefault((kind[q], b), a) != a:
-                    break
-            else:
+                    consistent = False
+            # Slots are judged where a text is a new version of an item; a long part word for word is a leak by itself.
+            if consistent or longest_run(verbatim.get((text, item, shift), ())) >= min(RUN, n_folded):
                 got = (len(windows), -changed, slots)
                 best[text, item_id] = max(best.get((text, item_id), got), got)
         return [(t, item, n, slots, -changed) for (t, item), (n, changed, slots) in best.items()]
@@ -275,20 +291,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, windows, slots, changed``: a row for each document and item it leaks.
 
     ``changed`` of ``slots`` have another value than in the item; 0 is a verbatim
-    copy up to case and punctuation. Null and empty texts leak nothing, nor do
+    copy up to case and punctuation. The slots of a changed text must have one value
+    each for every value of the item, unless ``RUN`` windows in a row are word for word the item's. Null and empty texts leak nothing, nor do
     items with fewer than ``SHORTEST`` tokens, null items and items without id;
     an item with too few words is found with its own values only. Repeated rows and repeated items give repeated rows. Extra
     columns are ignored; an empty table gives no rows.
     """
     out = None
     for index in _indexes(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        shared = docs.sparkSession.sparkContext.broadcast(vars(index))
 
         def read(batches, shared=shared) -> Iterator[pa.RecordBatch]:
             names = ["doc_id", "item_id", "windows", "slots", "changed"]
+            index = _restored(shared.value)
             for batch in batches:
                 for part, body in blocks(batch):
-                    found = shared.value.leaks(body)
+                    found = index.leaks(body)
                     if found:
                         text, *rest = (pa.array(x, pa.int64()) for x in zip(*found, strict=True))
                         yield pa.RecordBatch.from_arrays([part.column(0).take(text), *rest], names)
@@ -302,15 +320,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a leak, with all their columns; no row is moved."""
     for index in _indexes(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+        shared = docs.sparkSession.sparkContext.broadcast(vars(index))
 
         @F.pandas_udf("boolean")
         def clean(text: pd.Series) -> pd.Series:
             batch = pa.record_batch([pa.array(text, pa.binary())], ["text"])
-            parts = []
+            parts, index = [], _restored(shared.value)
             for _, body in blocks(batch):
                 ok = np.ones(len(body), bool)
-                ok[[t for t, *_ in shared.value.leaks(body)]] = False
+                ok[[t for t, *_ in index.leaks(body)]] = False
                 parts.append(ok)
             return pd.Series(np.concatenate(parts) if parts else np.ones(0, bool))
 
