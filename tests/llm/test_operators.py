@@ -392,8 +392,10 @@ def test_leaks(spark):
     # Other values for all slots are a leak, as is a copy but for one of two equal slots.
     assert {(0, 1, 0), (2, 1, 5), (3, 1, 1), (7, 1, 0)} <= set(got) and not {4, 5, 6} & {d for d, *_ in got}
     # With no long part left word for word, the slots must agree.
-    torn = ITEM.replace("with 120", "with 75").replace("Paris", "Rome").replace("Anna", "Eve")
-    assert leaks(spark, [torn]) == []
+    form = "this morning {} bought {} red apples and later {} sold {} green pears while {} kept {} blue plums and ate {} of them"
+    item = form.format("Anna", 12, "Bob", 12, "Carl", 12, 12)
+    fine, torn = form.format("Eve", 9, "Tom", 9, "Jim", 9, 9), form.format("Eve", 9, "Tom", 8, "Jim", 7, 6)
+    assert leaks(spark, [fine, torn], [(1, item)]) == [(0, 1, 7)]
     assert [decontaminate.longest_run(x) for x in ((), (4,), (1, 2, 3, 7, 8), (9, 8, 7, 1))] == [0, 1, 3, 3]
 
 
