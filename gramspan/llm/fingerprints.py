@@ -1,12 +1,13 @@
-"""Document fingerprints: a Merkle tree over sections and paragraphs.
+"""Document fingerprints: a Merkle tree over sections, paragraphs and leaves.
 
-A text is cut, without loss, into sections (after each blank line) and these
-into paragraphs (lines with their line break). A paragraph's digest is the
-SHA-256 of its bytes, a section's that of its paragraphs' digests, and the
+A text is cut, without loss, into sections (after each blank line), these
+into paragraphs (lines with their line break) and these into leaves: runs of words up to
+one that ends in certain letters, so that an insertion changes the leaf that it
+falls into and no other. A paragraph's digest is the SHA-256 of its bytes' digest and its
+leaves' hashes, a section's that of its paragraphs' digests, and the
 fingerprint is the root over the sections' digests. Equal texts have equal
 roots; where roots differ, only differing branches need to be followed to the
-edit. Below the paragraphs stand short pieces with 32-bit hashes, by which two
-fingerprints are compared in degree.
+edit. The likeness of two fingerprints is that of their trees' leaves.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 
 from gramspan.plans.ordering import with_row_index
 
-# Code points of the pieces below a paragraph.
-PIECE = 16
+# A leaf ends with a word that ends so, or with the paragraph, or after so many code points.
+LEAF_ENDS, LEAF = "[dens][.,;:!?]*[ \\t]+", 64
 
 
 def _joined_digest(digests: Column, level: str) -> Column:
@@ -25,30 +26,43 @@ def _joined_digest(digests: Column, level: str) -> Column:
     return F.sha2(F.concat(F.lit(f"{level}:"), F.array_join(digests, ",")), 256)
 
 
-def branches(text: Column) -> Column:
-    """The digests of the paragraphs, section by section."""
+def leaves(paragraph: Column) -> Column:
+    """Hashes of the leaves of a paragraph, in order."""
+    rule = rf"[^\n]{{1,{LEAF}}}?(?:{LEAF_ENDS}|\n|$)|[^\n]{{1,{LEAF}}}\n?|\n"
+    return F.transform(F.regexp_extract_all(paragraph, F.lit(rule), F.lit(0)), lambda x: F.xxhash64(x))
+
+
+def tree(text: Column) -> Column:
+    """Section by section, the ``digest`` and ``leaves`` of each paragraph."""
     sections = F.split(text, r"(?<=\n\n)", -1)
     lines = lambda s: F.regexp_extract_all(s, F.lit(r"[^\n]*\n|[^\n]+"), F.lit(0))
-    return F.transform(sections, lambda s: F.transform(lines(s), lambda p: F.sha2(p, 256)))
+    cut = lambda p: F.struct(F.sha2(p, 256).alias("whole"), leaves(p).alias("leaves"))
+    below = lambda x: F.concat(x["whole"], F.lit(":"), F.array_join(F.transform(x["leaves"], F.hex), ","))
+    named = lambda x: F.struct(_joined_digest(F.array(below(x)), "paragraph").alias("digest"), x["leaves"].alias("leaves"))
+    return F.transform(sections, lambda s: F.transform(F.transform(lines(s), cut), named))
+
+
+def branches(nodes: Column) -> Column:
+    """The digests of the paragraphs, section by section."""
+    return F.transform(nodes, lambda s: F.transform(s, lambda p: p["digest"]))
 
 
-def section_digests(tree: Column) -> Column:
-    return F.transform(tree, lambda s: _joined_digest(s, "section"))
+def section_digests(branch: Column) -> Column:
+    return F.transform(branch, lambda s: _joined_digest(s, "section"))
 
 
-def root(tree: Column) -> Column:
+def root(branch: Column) -> Column:
     """The fingerprint: 64 hexadecimal digits."""
-    return _joined_digest(section_digests(tree), "root")
+    return _joined_digest(section_digests(branch), "root")
 
 
-def pieces(text: Column) -> Column:
-    """Distinct hashes of the pieces that the paragraphs consist of."""
-    cut = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{PIECE}}}\n?|\n"), F.lit(0))
-    return F.array_distinct(F.transform(cut, lambda p: F.hash(p)))
+def leaf_set(nodes: Column) -> Column:
+    """Distinct hashes of the leaves of a tree."""
+    return F.array_distinct(F.flatten(F.flatten(F.transform(nodes, lambda s: F.transform(s, lambda p: p["leaves"])))))
 
 
 def likeness(a: Column, b: Column, same: Column) -> Column:
-    """Share of common pieces, 1 for equal roots and 0 for nothing in common."""
+    """Share of common leaves, 1 for equal roots and 0 for nothing in common."""
     both = F.size(a) + F.size(b)
     common = 2.0 * F.size(F.array_intersect(a, b))
     return F.when(same, 1.0).when(both == 0, 0.0).otherwise(common / both)
@@ -64,67 +78,88 @@ def first_difference(a: Column, b: Column) -> Column:
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every document, its edited text and the likeness to it and to the next.
+    """Fingerprints of every row, its edited text and the likeness to it and to the next.
 
     The edited text has its last half replaced by as much of the beginning of
     the next document in descending ``doc_id`` (of the first after the last).
-    A null text is empty. Rows that share a doc_id are one document, the least
-    of their texts; rows without doc_id have no place in the order and are left
-    out. Extra columns are ignored; a single document is its own next one.
+    Rows without doc_id come last; rows that share one follow each other in the
+    order of a hash of their texts, equal rows one after another. A null text is empty.
+    Extra columns are ignored; a single document is its own next one.
     """
-    body = F.coalesce(F.col("text"), F.lit(""))
-    known = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"))
-    keys = known.groupBy("doc_id").agg(F.max(F.char_length("text")).alias("most"))
-    place = with_row_index(keys, ["doc_id"], "place")
+    key = ["bare", "id", "a", "b"]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    one = known.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies")).select(
+        F.col("doc_id").isNull().alias("bare"),
+        F.coalesce("doc_id", F.lit(0)).alias("id"),
+        F.xxhash64("text").alias("a"),
+        F.xxhash64("text", F.lit(7)).alias("b"),
+        "doc_id",
+        "text",
+        "copies",
+    )
+    keys = one.select(*key, (~F.col("bare")).alias("known"), F.char_length("text").alias("most"))
+    place = with_row_index(keys, ["known", "id", "a", "b"], "place").drop("known")
     n = place.agg(F.coalesce(F.max("place") + 1, F.lit(1))).head()[0]
-    after = place.select(((F.col("place") + n - 1) % n).alias("place"), F.col("doc_id").alias("of"), "most")
-    pairs = place.select("place", F.col("doc_id").alias("next_id")).join(after, "place").drop("place")
+    of = [F.col(c).alias(f"of_{c}") for c in key]
+    after = place.select(((F.col("place") + n - 1) % n).alias("place"), *of, "most")
+    pairs = place.drop("most").join(after, "place").drop("place")
 
-    one = known.groupBy("doc_id").agg(F.min("text").alias("text"))
-    # What a document needs of the next one: no more text than it can take over, and the pieces.
-    heads = one.join(pairs, one.doc_id == pairs.next_id).select(
-        F.col("of").alias("doc_id"),
+    # What a document needs of the next one: no more text than it can take over, and the leaves.
+    nexts = one.join(pairs, key).select(
+        *[F.col(f"of_{c}").alias(c) for c in key],
         F.substring("text", 1, F.floor(F.col("most") / 2).cast("int")).alias("head"),
-        pieces(F.col("text")).alias("next_pieces"),
-        root(branches(F.col("text"))).alias("next_root"),
+        tree(F.col("text")).alias("nodes"),
+    )
+    heads = nexts.select(
+        *key, "head", leaf_set(F.col("nodes")).alias("next_leaves"), root(branches(F.col("nodes"))).alias("next_root")
     )
     half = F.floor(F.char_length("text") / 2).cast("int")
-    edited = one.join(heads, "doc_id").select(
+    rows = one.join(heads, key).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    # An equal row is the next one of all equal rows but the last.
+    again = F.col("copy") < F.col("copies")
+    begin = F.substring(F.when(again, F.col("text")).otherwise(F.col("head")), F.lit(1), half)
+    edited = rows.select(
         "doc_id",
         "text",
         F.char_length("text").cast("long").alias("n_chars"),
-        F.concat(F.substring("text", F.lit(1), F.char_length("text") - half), F.substring("head", F.lit(1), half)).alias(
-            "edited"
-        ),
-        "next_pieces",
+        F.concat(F.substring("text", F.lit(1), F.char_length("text") - half), begin).alias("edited"),
+        again.alias("again"),
+        "next_leaves",
         "next_root",
     )
     trees = edited.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        branches(F.col("text")).alias("tree"),
-        branches(F.col("edited")).alias("edited_tree"),
-        pieces(F.col("text")).alias("pieces"),
-        pieces(F.col("edited")).alias("edited_pieces"),
-        "next_pieces",
+        tree(F.col("text")).alias("nodes"),
+        tree(F.col("edited")).alias("edited_nodes"),
+        "again",
+        "next_leaves",
         "next_root",
     )
-    rooted = trees.select(
+    branched = trees.select(
+        "*",
+        branches(F.col("nodes")).alias("branch"),
+        branches(F.col("edited_nodes")).alias("edited_branch"),
+        leaf_set(F.col("nodes")).alias("leaves"),
+        leaf_set(F.col("edited_nodes")).alias("edited_leaves"),
+    ).drop("nodes", "edited_nodes")
+    rooted = branched.select(
         "*",
-        root(F.col("tree")).alias("fingerprint"),
-        root(F.col("edited_tree")).alias("edited_fingerprint"),
-        first_difference(F.col("tree"), F.col("edited_tree")).alias("edit"),
+        root(F.col("branch")).alias("fingerprint"),
+        root(F.col("edited_branch")).alias("edited_fingerprint"),
+        first_difference(F.col("branch"), F.col("edited_branch")).alias("edit"),
     )
-    near = lambda other, its: likeness(F.col("pieces"), F.col(other), F.col("fingerprint") == F.col(its))
+    near = lambda other, same: likeness(F.col("leaves"), F.col(other), same)
     return rooted.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        near("edited_pieces", "edited_fingerprint").alias("near_edited"),
-        near("next_pieces", "next_root").alias("near_next"),
+        near("edited_leaves", F.col("fingerprint") == F.col("edited_fingerprint")).alias("near_edited"),
+        near("next_leaves", F.col("again") | (F.col("fingerprint") == F.col("next_root"))).alias("near_next"),
         F.col("edit.section").alias("edit_section"),
         F.col("edit.paragraph").alias("edit_paragraph"),
     )

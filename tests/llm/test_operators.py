@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import re
 
 import duckdb
 import numpy as np
@@ -218,7 +219,7 @@ def test_quality_edges(spark, corpus):
 
 def test_fingerprints(spark, corpus):
     distinct = dict(corpus)
-    got = {r["doc_id"]: r for r in fingerprints.compare_with_next(table(spark, [*corpus, (None, "x")])).collect()}
+    got = {r["doc_id"]: r for r in fingerprints.compare_with_next(table(spark, corpus)).collect()}
     order = sorted(distinct, reverse=True)
     roots = {}
     for k, doc in enumerate(order):
@@ -239,6 +240,41 @@ def test_fingerprints(spark, corpus):
     assert fingerprints.compare_with_next(table(spark, corpus).limit(0)).count() == 0
 
 
+def plain_leaves(text):
+    """Leaves of a text's lines, word by word."""
+    out = set()
+    for line in re.findall(r"[^\n]*\n|[^\n]+", text):
+        while line:
+            ends = [m.end() for m in re.finditer(fingerprints.LEAF_ENDS, line) if 1 <= m.start() <= fingerprints.LEAF]
+            rest = len(line.rstrip("\n"))
+            end = ends[0] if ends else len(line) if rest <= fingerprints.LEAF else fingerprints.LEAF
+            out.add(line[:end])
+            line = line[end:]
+    return out
+
+
+def test_fingerprints_of_every_row(spark):
+    """Rows that share an id or have none, equal rows, and likeness by leaves."""
+    line = " ".join(f"word{i} eren{i}d and" for i in range(130))
+    rows = [(9, line), (8, "x" + line), (5, "one of two\nnext"), (5, "other text"), (5, "other text"), (None, "a b"), (None, "c d"), (None, None)]
+    got = fingerprints.compare_with_next(table(spark, rows).repartition(3)).collect()
+    assert sorted(((r["doc_id"], r["n_chars"]) for r in got), key=str) == sorted(((d, len(t or "")) for d, t in rows), key=str)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append(r)
+    # A letter in front of a long line leaves all leaves but the first.
+    assert by[9][0]["near_next"] > 0.95 and by[9][0]["fingerprint"] != by[8][0]["fingerprint"]
+    a, b = plain_leaves(line), plain_leaves("x" + line)
+    assert by[9][0]["near_next"] == pytest.approx(2 * len(a & b) / (len(a) + len(b)))
+    twins = [r for r in by[5] if r["n_chars"] == 10]
+    assert len(twins) == 2 and max(r["near_next"] for r in twins) == 1.0
+    # Of the equal rows, one is edited with the other's beginning and one with the next text's.
+    assert plain.sha(("other" + "other").encode()) in {r["edited_sha256"] for r in twins}
+    assert len({r["fingerprint"] for r in got}) == 7
+    alone = fingerprints.compare_with_next(table(spark, [(None, "abcd")])).collect()
+    assert [(r["edited_sha256"], r["near_next"]) for r in alone] == [(plain.sha(b"abab"), 1.0)]
+
+
 def test_mixing(spark, corpus):
     rows = [(d, t, None if i % 9 == 0 else f"s{i % 5}") for i, (d, t) in enumerate(corpus)]
     got = mixing.mix_sources(table(spark, rows)).collect()
