@@ -6,12 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramspan.functions import linear, squared_distance
 from gramspan.operators.metrics import classification_metrics
 from gramspan.plans.gram import Moments, grouped_moments, moments, total
+from gramspan.plans.subspace import count_and_mean, leading_eigenpairs, total_scatter
 from gramspan.sources import Features, TabularDataset
 
 # Ridge added to the within-class scatter, and the smallest kept eigenvalue.
@@ -132,18 +134,54 @@ def _component_count(k: int | None, n: int, d: int) -> int:
     return k
 
 
+def _checked_solver(solver: str, k: int | None) -> str:
+    if solver not in ("gram", "subspace"):
+        raise ValueError("solver must be 'gram' or 'subspace'")
+    if solver == "subspace" and k is None:
+        raise ValueError("solver 'subspace' needs n_components")
+    return solver
+
+
+def _complete_rows(ds: TabularDataset) -> DataFrame:
+    """The feature vectors; a null among them is an error."""
+    x = ds.features.vector()
+    missing = x.isNull() | F.exists(x, lambda v: v.isNull())
+    broken = F.raise_error(F.lit("null in a feature column")).cast("array<double>")
+    rows = ds.df.select(F.when(missing, broken).otherwise(x.cast("array<double>")).alias("x"))
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 class PCA:
     """Principal components of the sample covariance (divisor n - 1).
 
     Every component is oriented so that its elements have a positive sum.
+    ``solver='gram'`` takes one scan and a d x d problem on the driver.
+    ``solver='subspace'`` is for very many columns: it never forms a d x d matrix,
+    takes a scan for each block of its search space, and has no covariance to show.
     """
 
-    def __init__(self, n_components: int | None = None):
-        self.n_components = n_components
+    def __init__(self, n_components: int | None = None, solver: str = "gram"):
+        self.n_components, self.solver = n_components, _checked_solver(solver, n_components)
 
     def fit(self, ds: TabularDataset) -> PCAModel:
+        if self.solver == "subspace":
+            return self._fit_subspace(ds)
         return self.from_moments(ds.features, moments(ds.df, ds.features))
 
+    def _fit_subspace(self, ds: TabularDataset) -> PCAModel:
+        d, rows = ds.features.width, _complete_rows(ds)
+        try:
+            n, mean = count_and_mean(rows, d)
+            if n == 0:
+                raise ValueError("input must have at least one sample")
+            k = _component_count(self.n_components, n, d)
+            values, vectors = leading_eigenpairs(rows, d, mean, k)
+            whole = total_scatter(rows, d, mean)
+        finally:
+            rows.unpersist()
+        share = max(n - 1, 1)
+        return PCAModel(ds.features, _orient(vectors, np.ones(d)), mean, values / share, whole / share, None)
+
     def from_moments(self, features: Features, m: Moments) -> PCAModel:
         d = features.width
         k = _component_count(self.n_components, m.n, d)
@@ -177,14 +215,29 @@ class TruncatedSVDModel(Projection):
 
 
 class TruncatedSVD:
-    """Leading right singular vectors of the uncentred data."""
+    """Leading right singular vectors of the uncentred data; the solvers are those of ``PCA``."""
 
-    def __init__(self, n_components: int):
-        self.n_components = n_components
+    def __init__(self, n_components: int, solver: str = "gram"):
+        self.n_components, self.solver = n_components, _checked_solver(solver, n_components)
 
     def fit(self, ds: TabularDataset) -> TruncatedSVDModel:
+        if self.solver == "subspace":
+            return self._fit_subspace(ds)
         return self.from_moments(ds.features, moments(ds.df, ds.features))
 
+    def _fit_subspace(self, ds: TabularDataset) -> TruncatedSVDModel:
+        d, rows = ds.features.width, _complete_rows(ds)
+        try:
+            n, mean = count_and_mean(rows, d)
+            if n == 0:
+                raise ValueError("input must have at least one sample")
+            k = _component_count(self.n_components, n, d)
+            values, vectors = leading_eigenpairs(rows, d, np.zeros(d), k)
+        finally:
+            rows.unpersist()
+        weights = np.ones(d) if n > d else mean * n
+        return TruncatedSVDModel(ds.features, _orient(vectors, weights), np.zeros(d), np.sqrt(values), n)
+
     def from_moments(self, features: Features, m: Moments) -> TruncatedSVDModel:
         d = features.width
         k = _component_count(self.n_components, m.n, d)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from gramspan.operators import LDA, PCA, TruncatedSVD, reconstruction_comparison
-from gramspan.sources import from_rows
+from gramspan.sources import TabularDataset, from_rows
 
 _RNG = np.random.default_rng(11)
 # Three groups in eight columns, four of them mixtures of the others and noise.
@@ -124,3 +124,54 @@ def test_reconstruction_comparison(spark):
     for k in (1, 2, 3):
         assert rows["pca", k] == pytest.approx(-PCA(k).fit(ds).score(ds), abs=1e-9)
         assert rows["svd", k] == pytest.approx(-TruncatedSVD(k).fit(ds).score(ds), abs=1e-9)
+
+
+def wide_data(n, d, seed=3):
+    """Rows with a few strong directions, some close to each other, and noise in all columns."""
+    rng = np.random.default_rng(seed)
+    strength = np.array([9.0, 7.0, 6.9, 3.0, 2.0, 1.9])
+    basis = np.linalg.qr(rng.normal(size=(d, len(strength))))[0]
+    return rng.normal(size=(n, len(strength))) * strength @ basis.T + rng.normal(0, 0.2, (n, d)) + rng.normal(0, 2, d)
+
+
+def vectors_of(spark, x):
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(x.tolist())], "row_idx long, v array<double>")
+    return TabularDataset(df.repartition(4), "v", order_by=["row_idx"])
+
+
+@pytest.mark.parametrize("n, d", [(400, 200), (60, 200), (30, 7)])
+def test_subspace_solver_equals_the_dense_one(spark, n, d):
+    ds = vectors_of(spark, wide_data(n, d))
+    got, want = PCA(5, solver="subspace").fit(ds), PCA(5).fit(ds)
+    np.testing.assert_allclose(got.explained_variance, want.explained_variance, rtol=1e-8)
+    np.testing.assert_allclose(got.components, want.components, atol=1e-6)
+    np.testing.assert_allclose(got.mean, want.mean)
+    np.testing.assert_allclose(got.total_variance_ratio, want.total_variance_ratio, rtol=1e-8)
+    got, want = TruncatedSVD(4, solver="subspace").fit(ds), TruncatedSVD(4).fit(ds)
+    np.testing.assert_allclose(got.singular_values, want.singular_values, rtol=1e-8)
+    np.testing.assert_allclose(got.components, want.components, atol=1e-6)
+
+
+def test_subspace_solver_of_many_columns(spark):
+    """A matrix of d x d numbers would take 200 MB here."""
+    d = 5000
+    x = wide_data(90, d, 8)
+    got = PCA(3, solver="subspace").fit(vectors_of(spark, x))
+    c = x - x.mean(axis=0)
+    _, s, vt = np.linalg.svd(c, full_matrices=False)
+    np.testing.assert_allclose(got.explained_variance, s[:3] ** 2 / 89, rtol=1e-7)
+    np.testing.assert_allclose(np.abs((got.components * vt[:3]).sum(axis=1)), 1.0, atol=1e-6)
+
+
+def test_subspace_solver_edges(spark):
+    flat = vectors_of(spark, np.ones((6, 4)))
+    assert PCA(2, solver="subspace").fit(flat).explained_variance.tolist() == [0.0, 0.0]
+    assert PCA(2, solver="subspace").fit(flat).get_covariance() is None
+    for bad in (lambda: PCA(solver="subspace"), lambda: PCA(2, solver="qr"), lambda: PCA(9, solver="subspace").fit(flat)):
+        with pytest.raises(ValueError):
+            bad()
+    with pytest.raises(ValueError):
+        PCA(1, solver="subspace").fit(flat.with_df(flat.df.limit(0)))
+    nulls = spark.createDataFrame([(1, [1.0, None]), (2, [1.0, 2.0])], "row_idx long, v array<double>")
+    with pytest.raises(Exception, match="null"):
+        PCA(1, solver="subspace").fit(TabularDataset(nulls, "v", order_by=["row_idx"]))
