@@ -29,7 +29,7 @@ def _joined_digest(digests: Column, level: str) -> Column:
 def leaves(paragraph: Column) -> Column:
     """Hashes of the leaves of a paragraph, in order."""
     rule = rf"[^\n]{{1,{LEAF}}}?(?:{LEAF_ENDS}|\n|$)|[^\n]{{1,{LEAF}}}\n?|\n"
-    return F.transform(F.regexp_extract_all(paragraph, F.lit(rule), F.lit(0)), lambda x: F.xxhash64(x))
+    return F.transform(F.regexp_extract_all(paragraph, F.lit(rule), F.lit(0)), lambda x: F.hash(x))
 
 
 def tree(text: Column) -> Column:
@@ -89,15 +89,15 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     key = ["bare", "id", "a", "b"]
     text = F.coalesce(F.col("text"), F.lit(""))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    one = known.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies")).select(
+    # One shuffle of the texts: what follows joins on the columns that they are grouped by.
+    one = known.select(
         F.col("doc_id").isNull().alias("bare"),
         F.coalesce("doc_id", F.lit(0)).alias("id"),
         F.xxhash64("text").alias("a"),
         F.xxhash64("text", F.lit(7)).alias("b"),
-        "doc_id",
         "text",
-        "copies",
     )
+    one = one.groupBy(*key).agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     keys = one.select(*key, (~F.col("bare")).alias("known"), F.char_length("text").alias("most"))
     place = with_row_index(keys, ["known", "id", "a", "b"], "place").drop("known")
     n = place.agg(F.coalesce(F.max("place") + 1, F.lit(1))).head()[0]
@@ -120,7 +120,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     again = F.col("copy") < F.col("copies")
     begin = F.substring(F.when(again, F.col("text")).otherwise(F.col("head")), F.lit(1), half)
     edited = rows.select(
-        "doc_id",
+        F.when(~F.col("bare"), F.col("id")).alias("doc_id"),
         "text",
         F.char_length("text").cast("long").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), F.char_length("text") - half), begin).alias("edited"),
