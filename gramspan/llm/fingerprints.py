@@ -90,15 +90,16 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     # One shuffle of the texts: what follows joins on the columns that they are grouped by.
-    one = known.select(
+    rows = known.select(
         F.col("doc_id").isNull().alias("bare"),
         F.coalesce("doc_id", F.lit(0)).alias("id"),
         F.xxhash64("text").alias("a"),
         F.xxhash64("text", F.lit(7)).alias("b"),
         "text",
     )
-    one = one.groupBy(*key).agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    keys = one.select(*key, (~F.col("bare")).alias("known"), F.char_length("text").alias("most"))
+    one = rows.groupBy(*key).agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    keys = rows.select(*key, F.char_length("text").alias("most")).groupBy(*key).agg(F.max("most").alias("most"))
+    keys = keys.withColumn("known", ~F.col("bare"))
     place = with_row_index(keys, ["known", "id", "a", "b"], "place").drop("known")
     n = place.agg(F.coalesce(F.max("place") + 1, F.lit(1))).head()[0]
     of = [F.col(c).alias(f"of_{c}") for c in key]
@@ -115,11 +116,11 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         *key, "head", leaf_set(F.col("nodes")).alias("next_leaves"), root(branches(F.col("nodes"))).alias("next_root")
     )
     half = F.floor(F.char_length("text") / 2).cast("int")
-    rows = one.join(heads, key).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    each = one.join(heads, key).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     # An equal row is the next one of all equal rows but the last.
     again = F.col("copy") < F.col("copies")
     begin = F.substring(F.when(again, F.col("text")).otherwise(F.col("head")), F.lit(1), half)
-    edited = rows.select(
+    edited = each.select(
         F.when(~F.col("bare"), F.col("id")).alias("doc_id"),
         "text",
         F.char_length("text").cast("long").alias("n_chars"),
