@@ -1375,9 +1375,10 @@ def streaming_score(spark, sf):
 try:
     import corpus_pipeline
     from gramspan.llm import queries as _llm
-except ImportError:
+except ImportError as e:
     # The subpackage and its pipeline can be taken away; everything else still works.
-    pass
+    if e.name not in ("corpus_pipeline", "gramspan.llm", "gramspan.llm.common", "gramspan.llm.queries"):
+        raise
 else:
     _QUERIES.update(_llm.QUERIES, pipeline=corpus_pipeline.run)
     _ORACLES.update(_llm.ORACLES)
