@@ -89,7 +89,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     key = ["bare", "id", "a", "b"]
     text = F.coalesce(F.col("text"), F.lit(""))
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    # One shuffle of the texts: what follows joins on the columns that they are grouped by.
+    # One shuffle of the texts: what follows joins on the columns that they are grouped by. Both joins
+    # use all columns of ``one``; a column that only one of them needs would make Spark group the texts twice.
     rows = known.select(
         F.col("doc_id").isNull().alias("bare"),
         F.coalesce("doc_id", F.lit(0)).alias("id"),
@@ -97,23 +98,29 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         F.xxhash64("text", F.lit(7)).alias("b"),
         "text",
     )
-    one = rows.groupBy(*key).agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    keys = rows.select(*key, F.char_length("text").alias("most")).groupBy(*key).agg(F.max("most").alias("most"))
+    one = rows.groupBy(*key).agg(F.min("text").alias("text"))
+    sizes = rows.select(*key, F.char_length("text").alias("most")).groupBy(*key)
+    keys = sizes.agg(F.max("most").alias("most"), F.count(F.lit(1)).alias("copies"))
     keys = keys.withColumn("known", ~F.col("bare"))
     place = with_row_index(keys, ["known", "id", "a", "b"], "place").drop("known")
     n = place.agg(F.coalesce(F.max("place") + 1, F.lit(1))).head()[0]
     of = [F.col(c).alias(f"of_{c}") for c in key]
-    after = place.select(((F.col("place") + n - 1) % n).alias("place"), *of, "most")
-    pairs = place.drop("most").join(after, "place").drop("place")
+    after = place.select(((F.col("place") + n - 1) % n).alias("place"), *of, "most", "copies")
+    pairs = place.drop("most", "copies").join(after, "place").drop("place")
 
     # What a document needs of the next one: no more text than it can take over, and the leaves.
     nexts = one.join(pairs, key).select(
         *[F.col(f"of_{c}").alias(c) for c in key],
+        "copies",
         F.substring("text", 1, F.floor(F.col("most") / 2).cast("int")).alias("head"),
         tree(F.col("text")).alias("nodes"),
     )
     heads = nexts.select(
-        *key, "head", leaf_set(F.col("nodes")).alias("next_leaves"), root(branches(F.col("nodes"))).alias("next_root")
+        *key,
+        "copies",
+        "head",
+        leaf_set(F.col("nodes")).alias("next_leaves"),
+        root(branches(F.col("nodes"))).alias("next_root"),
     )
     half = F.floor(F.char_length("text") / 2).cast("int")
     each = one.join(heads, key).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))

@@ -275,6 +275,13 @@ def test_fingerprints_of_every_row(spark):
     assert [(r["edited_sha256"], r["near_next"]) for r in alone] == [(plain.sha(b"abab"), 1.0)]
 
 
+def test_fingerprints_shuffle_the_texts_once(spark, corpus):
+    got = fingerprints.compare_with_next(table(spark, corpus))
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("partial_min(text") == 1 and "ReusedExchange [bare" in plan
+
+
 def test_mixing(spark, corpus):
     rows = [(d, t, None if i % 9 == 0 else f"s{i % 5}") for i, (d, t) in enumerate(corpus)]
     got = mixing.mix_sources(table(spark, rows)).collect()
