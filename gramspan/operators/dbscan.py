@@ -17,11 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gramspan.functions import euclidean, manhattan
 from gramspan.operators.reachability import count_clusters
 from gramspan.plans.components import connected_components, least_node
-from gramspan.plans.gram import arrow_matrix
 from gramspan.plans.neighbours import (
     DIRECT_PAIRS,
     GRID_WIDTH,
@@ -36,6 +36,9 @@ from gramspan.plans.skew import hot_keys, skew_join
 from gramspan.session import durable
 from gramspan.sources import TabularDataset
 
+# Points per label that look for other clusters first.
+PROBES = 16
+
 
 @dataclass(frozen=True)
 class DBSCANModel:
@@ -375,81 +378,145 @@ class DBSCAN:
     # --- high dimension -----------------------------------------------------
 
     def _block_labels(self, points: DataFrame, d: int, n: int) -> DataFrame:
-        eps, metric = self.eps, self.metric
+        """Labels from blocks, most of them from a point's own block.
+
+        A point with enough rows in its own block is core whatever else is near, and core points that
+        are linked inside a block need no other link. So all blocks are searched only for
+        points that are still short of rows, for links of clusters that are not part of the
+        largest one yet, and for the clusters that border points touch.
+        """
+        eps, metric, least = self.eps, self.metric, self.min_samples
         blocks = Blocks(points, d, eps)
 
-        def within(left, right):
-            a = arrow_matrix(left.column("x").combine_chunks(), d)[0]
-            b = a if right is None else arrow_matrix(right.column("x").combine_chunks(), d)[0]
-            return pairwise_within(a, b, eps, metric)
-
-        def values(table, name):
-            return table.column(name).to_numpy()
-
-        def count(left, right):
-            close = within(left, right)
-            other = left if right is None else right
-            ids, rows = [values(left, "id")], [close @ values(other, "w")]
-            if right is not None:
-                ids.append(values(right, "id"))
-                rows.append(close.T @ values(left, "w"))
-            return pa.table({"id": np.concatenate(ids), "rows": np.concatenate(rows)})
-
-        def link(left, right):
-            i, j = np.nonzero(within(left, right))
-            ids = values(left, "id")
-            nodes, roots = least_node(ids[i], (ids if right is None else values(right, "id"))[j])
-            inner = nodes != roots
-            return pa.table({"a": nodes[inner], "b": roots[inner]})
-
-        def touch(left, right):
-            close = within(left, right)
-            other = left if right is None else right
-            far = np.iinfo(np.int64).max
-            out_ids, out_labels = [], []
-            for mine, theirs, hit in ((left, other, close), (other, left, close.T)):
-                border = ~values(mine, "is_core")
-                core = values(theirs, "is_core")
-                label = np.where(core, values(theirs, "label"), far)
-                best = np.where(hit, label[None, :], far).min(axis=1, initial=far)
-                keep = border & (best < far)
-                out_ids.append(values(mine, "id")[keep])
-                out_labels.append(best[keep])
-            return pa.table({"id": np.concatenate(out_ids), "label": np.concatenate(out_labels)})
-
-        start = durable(blocks.points)
-        counts = blocks.compare(start, ["id", "w", "x"], count, "id long, rows long")
-        counts = counts.groupBy("id").agg(F.sum("rows").alias("rows"))
-        marked = durable(
-            start.join(counts, "id").withColumn("is_core", F.col("rows") >= self.min_samples)
-        )
-        core = marked.filter("is_core")
-        edges = blocks.compare(core, ["id", "x"], link, "a long, b long")
-        labels = connected_components(edges)
-        labelled = durable(
-            marked.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
-                "label", F.when(F.col("is_core"), F.coalesce("label", "id")).otherwise(-1)
-            )
-        )
-        border = blocks.compare(labelled, ["id", "x", "is_core", "label"], touch, "id long, label long")
-        border = border.groupBy("id").agg(F.min("label").alias("near"))
-        final = durable(
-            labelled.join(border, "id", "left").select(
-                "id",
-                F.when(F.col("is_core"), F.col("label")).otherwise(F.col("near")).alias("label"),
-                "is_core",
-            )
-        )
-        numbers = with_row_index(
-            final.filter("is_core").select("label").distinct(), ["label"], "cluster"
-        )
-        per_label = final.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-        busy = hot_keys(per_label.filter("label is not null"), ["label"], "members", n)
-        inside = skew_join(final.filter("label is not null"), numbers, ["label"], busy)
-        noise = final.filter("label is null").withColumn("cluster", F.lit(-1.0))
-        return inside.select("id", F.col("cluster").cast("double"), "is_core").unionByName(
-            noise.select("id", "cluster", "is_core")
+        def count(side):
+            w, rows = side.values("w"), np.zeros(len(side), np.int64)
+            for i, j in side.near(side, eps):
+                a, b = side.parts[i], side.parts[j]
+                if i > j or min(rows[a].min(), rows[b].min()) >= least:
+                    continue
+                close = pairwise_within(side.x[a], side.x[b], eps, metric)
+                rows[a] += close @ w[b]
+                if i < j:
+                    rows[b] += w[a] @ close
+            return side.table.append_column("rows", pa.array(rows))
+
+        def total(asks, side):
+            w, rows = side.values("w"), np.zeros(len(asks), np.int64)
+            for i, j in asks.near(side, eps):
+                a, b = asks.parts[i], side.parts[j]
+                if rows[a].min() < least:
+                    rows[a] += pairwise_within(asks.x[a], side.x[b], eps, metric) @ w[b]
+            return pa.table({"id": asks.values("id"), "rows": rows})
+
+        def link(side):
+            root, ids = np.arange(len(side)), side.values("id")
+            for i, j in side.near(side, eps):
+                if i <= j:
+                    root = _linked(root, side, i, side, j, np.arange(len(side)), np.arange(len(side)), eps, metric)
+            first = np.full(len(side), np.iinfo(np.int64).max)
+            np.minimum.at(first, root, ids)
+            size = np.bincount(root, minlength=len(side))
+            return side.table.append_column("label", pa.array(first[root])).append_column("size", pa.array(size[root]))
+
+        def bridge(asks, side):
+            mine, theirs = asks.values("label"), side.values("label")
+            nodes, at = np.unique(np.concatenate([mine, theirs]), return_inverse=True)
+            root = np.arange(len(nodes))
+            for i, j in asks.near(side, eps):
+                root = _linked(root, asks, i, side, j, at[: len(mine)], at[len(mine) :], eps, metric)
+            moved = np.flatnonzero(root != np.arange(len(nodes)))
+            return pa.table({"a": nodes[moved], "b": nodes[root[moved]]})
+
+        def touch(asks, side):
+            cluster, best = side.values("cluster"), np.full(len(asks), np.inf)
+            for i, j in asks.near(side, eps):
+                a, b = asks.parts[i], side.parts[j]
+                if best[a].max() > cluster[b].min():
+                    close = pairwise_within(asks.x[a], side.x[b], eps, metric)
+                    best[a] = np.minimum(best[a], np.where(close, cluster[b][None, :], np.inf).min(axis=1))
+            reached = np.flatnonzero(best < np.inf)
+            return pa.table({"id": asks.values("id")[reached], "cluster": best[reached]})
+
+        schema = blocks.points.schema
+        counted = durable(blocks.inside(blocks.points, count, _with(schema, rows="long")))
+        enough = F.col("rows") >= least
+        marked = counted.withColumn("is_core", enough).drop("rows")
+        if blocks.count > 1:
+            short = counted.filter(~enough)
+            more = blocks.across(short, counted, ["id", "w", "x"], total, "id long, rows long")
+            more = more.groupBy("id").agg(F.sum("rows").alias("rows"))
+            found = short.drop("rows").join(more, "id", "left").withColumn("is_core", F.coalesce(enough, F.lit(False)))
+            marked = durable(marked.filter("is_core").unionByName(found.drop("rows")))
+        core = marked.filter("is_core").drop("is_core")
+        linked = durable(blocks.inside(core, link, _with(schema, label="long", size="long")))
+        names = _bridged(blocks, linked, bridge, n)
+        numbers = with_row_index(names.select("root").distinct(), ["root"], "cluster")
+        per_root = names.groupBy("root").agg(F.count(F.lit(1)).alias("labels"))
+        busy = hot_keys(per_root, ["root"], "labels", n)
+        clusters = skew_join(names, numbers, ["root"], busy).select("label", F.col("cluster").cast("double"))
+        # A label stays inside its block, so none has many rows.
+        core = durable(linked.join(clusters, "label"))
+        rest = marked.filter(~F.col("is_core"))
+        border = blocks.across(rest.withColumn("cluster", F.lit(-1.0)), core, ["id", "x", "cluster"], touch, "id long, cluster double")
+        border = border.groupBy("id").agg(F.min("cluster").alias("cluster"))
+        rest = rest.select("id").join(border, "id", "left").select(
+            "id", F.coalesce("cluster", F.lit(-1.0)).alias("cluster"), F.lit(False).alias("is_core")
         )
+        return core.select("id", "cluster", F.lit(True).alias("is_core")).unionByName(rest)
+
+
+def _with(schema: T.StructType, **more: str) -> T.StructType:
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in more.items())).fields])
+
+
+def _linked(root, left, i, right, j, mine, theirs, eps, metric):
+    """``root`` (least node of each node's cluster) after the links between two parts.
+
+    ``mine`` and ``theirs`` are the nodes of the points of both sides. Each round takes one link per
+    point to another cluster, until none is left, so a crowded pair of parts costs no list of its links.
+    """
+    a, b = left.parts[i], right.parts[j]
+    p, q = mine[a], theirs[b]
+    if (root[p] == root[p[0]]).all() and (root[q] == root[p[0]]).all():
+        return root
+    close = pairwise_within(left.x[a], right.x[b], eps, metric)
+    while True:
+        close &= root[p][:, None] != root[q][None, :]
+        some = np.flatnonzero(close.any(axis=1))
+        if not len(some):
+            return root
+        nodes, roots = least_node(root[p[some]], root[q[close[some].argmax(axis=1)]])
+        moved = np.arange(len(root))
+        moved[nodes] = roots
+        root = moved[root]
+
+
+def _bridged(blocks: Blocks, linked: DataFrame, bridge, n: int) -> DataFrame:
+    """``label, root``: the least label of all that are linked, for the labels that core points have inside their blocks."""
+    labels = durable(linked.groupBy("label").agg(F.max("size").alias("size")))
+    if blocks.count == 1:
+        return labels.select("label", F.col("label").alias("root"))
+    columns, schema = ["x", "label"], "a long, b long"
+
+    def joined(names, edges):
+        """``names`` with the roots that the edges between roots leave."""
+        found = connected_components(edges).select(F.col("node").alias("root"), F.col("label").alias("_to"))
+        roots = names.groupBy("root").agg(F.count(F.lit(1)).alias("labels"))
+        to = roots.join(found, "root", "left").select("root", F.coalesce("_to", "root").alias("_to"))
+        both = skew_join(names, to, ["root"], hot_keys(roots, ["root"], "labels", n))
+        return durable(both.drop("root").withColumnRenamed("_to", "root"))
+
+    # Some points of each larger label show most of what belongs together ...
+    chosen = F.pmod(F.xxhash64("id", F.lit(1)), F.col("size")) < PROBES
+    probes = linked.filter((F.col("size") >= 4 * PROBES) & chosen)
+    names = joined(labels.withColumn("root", F.col("label")), blocks.across(probes, linked, columns, bridge, schema))
+    # ... and any other link has an end outside of the largest cluster.
+    largest = names.groupBy("root").agg(F.sum("size").alias("size")).orderBy(F.desc("size"), "root").head()
+    if largest is None:
+        return names
+    known = durable(linked.join(names.select("label", "root"), "label").drop("label").withColumnRenamed("root", "label"))
+    outside = known.filter(F.col("label") != largest["root"])
+    return joined(names, blocks.across(outside, known, columns, bridge, schema))
 
 
 def region_query(

@@ -6,8 +6,9 @@ neighbouring cells are joined. A box wholly inside or outside the radius is
 settled at once; what straddles it is settled on points, and pairs of crowded
 cells by subdividing both, so no crowded cell is ever paired point by point.
 
-High dimension: blocks of bounded size from neighbouring coarse cells and balls are
-compared with one matrix product each, and only per-point results leave a task.
+High dimension: points that are near each other share a block of bounded size. A task holds
+one block or two, and compares their parts by matrix products, as far as centres, radii and
+boxes of the parts leave something in reach; only per-point results leave a task.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gramspan.functions import linear
@@ -31,8 +32,10 @@ from gramspan.sources import Features
 GRID_WIDTH = 3
 # Point pairs up to which one pair of (sub)cells is finished directly.
 DIRECT_PAIRS = 4096
-# Points per block in the blocked comparison.
-BLOCK_ROWS = 1024
+# Points per block in the blocked comparison, and coordinates per block.
+BLOCK_ROWS, BLOCK_VALUES = 16_384, 1 << 20
+# Points per part of a block, which one matrix product takes.
+PART_ROWS = 1024
 # Balls that points are parted into, and points that their centres are chosen from.
 BALLS, SAMPLE = 256, 16_384
 
@@ -148,7 +151,7 @@ def ball_centres(sample: np.ndarray, share: float) -> np.ndarray:
     """Centres of a tree of balls over a sample, each sampled point standing for ``share`` points.
 
     The ball with the most points is split between a far point and the one
-    farthest from that, until no ball holds more than a block or there are ``BALLS``.
+    farthest from that, until no ball holds more than a part of a block or there are ``BALLS``.
     """
     balls, open_ = [], [sample]
     while open_ and len(balls) + len(open_) < BALLS:
@@ -157,7 +160,7 @@ def ball_centres(sample: np.ndarray, share: float) -> np.ndarray:
         far = points[((points - points.mean(axis=0)) ** 2).sum(axis=1).argmax()]
         other = points[((points - far) ** 2).sum(axis=1).argmax()]
         near = ((points - far) ** 2).sum(axis=1) < ((points - other) ** 2).sum(axis=1)
-        if len(points) * share <= BLOCK_ROWS or near.all() or not near.any():
+        if len(points) * share <= min(BLOCK_ROWS, PART_ROWS) or near.all() or not near.any():
             balls.append(points)
         else:
             open_ += [points[near], points[~near]]
@@ -182,90 +185,210 @@ def _in_balls(points: DataFrame, d: int, centres: np.ndarray) -> DataFrame:
     return points.mapInArrow(run, schema + ", ball int, gap double")
 
 
+def _chain(apart: np.ndarray) -> list[int]:
+    """Row numbers of a distance matrix, each followed by the nearest that is left."""
+    order, left = [0], np.ones(len(apart), bool)
+    left[0] = False
+    while left.any():
+        order.append(int(np.where(left, apart[order[-1]], np.inf).argmin()))
+        left[order[-1]] = False
+    return order
+
+
+class Side:
+    """The points of one block in a task, cut into parts of neighbouring points."""
+
+    def __init__(self, table: pa.Table, d: int):
+        ball, place = table.column("ball").to_numpy(), table.column("place").to_numpy()
+        order = np.lexsort((place, ball))
+        self.table, ball = table.take(pa.array(order)).combine_chunks(), ball[order]
+        self.x = arrow_matrix(self.table.column("x").combine_chunks(), d)[0]
+        # A part ends with its ball, unless it is still small.
+        ends = [*np.flatnonzero(np.diff(ball)) + 1, len(ball)]
+        starts = [0] if len(ball) else []
+        for end in ends if len(ball) else []:
+            while end - starts[-1] > PART_ROWS:
+                starts.append(starts[-1] + PART_ROWS)
+            if end < len(ball) and end - starts[-1] >= PART_ROWS // 8:
+                starts.append(end)
+        self.parts = [slice(s, e) for s, e in zip(starts, [*starts[1:], len(ball)])]
+        boxes = [(x.mean(axis=0), x.min(axis=0), x.max(axis=0)) for x in (self.x[p] for p in self.parts)]
+        self.centre, self.lo, self.hi = (np.array(v).reshape(-1, d) for v in (zip(*boxes) if boxes else ((),) * 3))
+        far = [((self.x[p] - c) ** 2).sum(axis=1).max() for p, c in zip(self.parts, self.centre)]
+        self.radius = np.sqrt(np.array(far, dtype=float))
+
+    def __len__(self) -> int:
+        return len(self.x)
+
+    def values(self, name: str) -> np.ndarray:
+        return self.table.column(name).to_numpy()
+
+    def near(self, other: Side, eps: float) -> list[tuple[int, int]]:
+        """The pairs of parts that may hold points within ``eps``, nearest centres first.
+
+        No two points are closer than the boxes of their parts, nor than the centres less both radii.
+        """
+        if not self.parts or not other.parts:
+            return []
+        found = []
+        size = max(np.abs(v).max() for v in (self.lo, self.hi, other.lo, other.hi)) * self.lo.shape[1] ** 0.5
+        slack = eps * (1 + 1e-6) + 1e-9 * size
+        for i in range(len(self.parts)):
+            apart = np.sqrt(((other.centre - self.centre[i]) ** 2).sum(axis=1))
+            gap = np.maximum(np.maximum(other.lo - self.hi[i], self.lo[i] - other.hi), 0.0)
+            keep = (apart <= (self.radius[i] + other.radius) * (1 + 1e-9) + slack) & (np.sqrt((gap * gap).sum(axis=1)) <= slack)
+            found += [(apart[j], i, int(j)) for j in np.flatnonzero(keep)]
+        return [(i, j) for _, i, j in sorted(found)]
+
+
 class Blocks:
     """Blocks of bounded size over ``points`` (``id``, ``x``), and which pairs
-    of blocks to compare.
+    of blocks may hold points within ``eps``.
 
-    Two partitions decide which blocks can hold points within ``eps``. Coarse
+    Two partitions group the points. Coarse
     cells of side ``eps`` along the principal directions: a projection on a unit
     vector never lengthens a distance, in either metric. And balls around
     pivots, which separate clusters in all directions: by the triangle inequality
-    two balls are apart if their centres are farther than both radii and ``eps``. A
-    crowded part becomes as many blocks as it needs. The pivots come from a
+    two balls are apart if their centres are farther than both radii and ``eps``. Small
+    balls share a block and a crowded one becomes as many blocks as it needs, so
+    the number of blocks follows the number of points however finely they are
+    grouped. The pivots come from a
     sample of bounded size; every point is in its block, so the choice matters to the time alone.
     """
 
     def __init__(self, points: DataFrame, d: int, eps: float):
+        self.d, self.eps, self.rows = d, eps, max(min(BLOCK_ROWS, BLOCK_VALUES // d), 1)
+        self._pairs = None
         whole = moments(points, Features(("x",), d, True))
         _, axes = np.linalg.eigh(whole.centered())
         axes = axes.T[::-1][:GRID_WIDTH]
-        cells = [f"c{i}" for i in range(len(axes))]
+        self.cells = [f"c{i}" for i in range(len(axes))]
         step = max(int(whole.n) // SAMPLE, 1)
         some = points.filter(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).orderBy(F.xxhash64("id")).limit(2 * SAMPLE)
         sample = np.array([r["x"] for r in some.select("x").collect()], dtype=float).reshape(-1, d)
         if not len(sample):
             sample = np.asarray(whole.mean, dtype=float).reshape(1, d)
         centres = ball_centres(sample, float(whole.n) / len(sample))
+        # At most BALLS * BALLS distances.
+        self.apart = np.sqrt(np.array([((centres - c) ** 2).sum(axis=1) for c in centres]))
         # Coordinates along unit vectors; the slack absorbs their rounding.
         placed = _in_balls(points, d, centres).withColumns(
             {
                 c: F.floor(
                     linear(F.col("x"), axis, -float(axis @ whole.mean)) / F.lit(eps * (1 + 1e-6))
                 ).cast("long")
-                for c, axis in zip(cells, axes, strict=True)
+                for c, axis in zip(self.cells, axes, strict=True)
             }
         )
-        place = [*cells, "ball"]
-        counts = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("size"), F.max("gap").alias("radius"))
-        counts = durable(
-            counts.withColumn("parts", F.ceil(F.col("size") / F.lit(BLOCK_ROWS)).cast("long"))
-        )
-        part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-        blocks = durable(
-            counts.select(*place, "radius", part.alias("part")).withColumn(
-                "block", F.monotonically_increasing_id()
-            )
-        )
-        hot = hot_keys(counts, place, "size", whole.n)
-        split = skew_join(placed.drop("gap"), counts.select(*place, "parts"), place, hot).withColumn(
-            "part", F.pmod(F.xxhash64("id"), F.col("parts"))
-        )
-        self.points = split.join(blocks.drop("radius"), [*place, "part"]).drop(*place, "part", "parts")
+        place = ["ball", *self.cells]
+        groups = durable(placed.groupBy(*place).agg(F.count(F.lit(1)).alias("size"), F.max("gap").alias("radius")))
+        sizes = groups.groupBy("ball").agg(F.sum("size").alias("size")).collect()
+        table, self.count = self._dealt({r["ball"]: r["size"] for r in sizes})
+        dealt = points.sparkSession.createDataFrame(table, "ball int, base long, parts long, total long")
+        upto = F.sum("size").over(Window.partitionBy("ball").orderBy(*self.cells))
+        of = lambda at: (F.col("base") + F.floor(at * F.col("parts") / F.col("total"))).cast("long")
+        groups = groups.join(F.broadcast(dealt), "ball").withColumn("before", upto - F.col("size"))
+        last = F.col("before") + F.col("size") - 1
+        self.groups = durable(groups.withColumns({"first": of(F.col("before")), "last": of(last)}))
+        hot = hot_keys(self.groups, place, "size", whole.n)
+        known = self.groups.select(*place, "size", "before", "base", "parts", "total")
+        spread = F.col("before") + F.pmod(F.xxhash64("id"), F.col("size"))
+        split = skew_join(placed.drop("gap"), known, place, hot).withColumn("place", spread)
+        self.points = split.withColumn("block", of(F.col("place"))).select(*points.columns, "ball", "place", "block")
+
+    def _dealt(self, sizes: dict[int, int]) -> tuple[list[tuple], int]:
+        """First block, number of blocks and points of each ball, and the number of all blocks."""
+        table, block, held = [], 0, 0
+        for ball in _chain(self.apart):
+            size = sizes.get(ball, 0)
+            if size:
+                if held and held + size > self.rows:
+                    block, held = block + 1, 0
+                parts = -(-size // self.rows)
+                table.append((ball, block, parts, size))
+                block, held = block + parts - 1, held + size if parts == 1 else self.rows
+        return table, block + 1
+
+    @property
+    def pairs(self) -> DataFrame:
+        """``a, b``: the blocks, ``a <= b``, that hold groups of points which may be within ``eps``."""
+        if self._pairs is None:
+            self._pairs = durable(self._near_blocks())
+        return self._pairs
+
+    def _near_blocks(self) -> DataFrame:
+        spark, cells = self.points.sparkSession, self.cells
+        if self.count == 1:
+            return spark.createDataFrame([(0, 0)], "a long, b long")
         near = list(itertools.product((-1, 0, 1), repeat=len(cells)))
-        side = lambda s: [F.col(c).alias(c + s) for c in ("ball", "radius")]
-        left = blocks.select(F.col("block").alias("a"), *cells, *side("_a"), F.explode(_steps(near)).alias("_o"))
+        side = lambda s: [F.col(c).alias(c + s) for c in ("ball", "radius", "first", "last")]
+        left = self.groups.select(*cells, *side("_a"), F.explode(_steps(near)).alias("_o"))
         left = left.withColumns({c: F.col(c) + F.get("_o", i) for i, c in enumerate(cells)})
-        right = blocks.select(F.col("block").alias("b"), *cells, *side("_b"))
-        # At most BALLS * BALLS distances.
-        apart = np.sqrt(np.maximum(((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2), 0.0))
-        gaps = F.broadcast(
-            points.sparkSession.createDataFrame(
-                [(int(i), int(j), float(apart[i, j])) for i in range(len(centres)) for j in range(len(centres))],
-                "ball_a int, ball_b int, between double",
-            )
+        n = range(len(self.apart))
+        gaps = spark.createDataFrame(
+            [(i, j, float(self.apart[i, j])) for i in n for j in n], "ball_a int, ball_b int, between double"
         )
-        met = left.join(right, cells).filter("a <= b").join(gaps, ["ball_a", "ball_b"])
-        slack = eps * (1 + 1e-6) + 1e-9 * float(apart.max(initial=0.0))
+        met = left.join(self.groups.select(*cells, *side("_b")), cells).join(F.broadcast(gaps), ["ball_a", "ball_b"])
+        slack = self.eps * (1 + 1e-6) + 1e-9 * float(self.apart.max(initial=0.0))
         reach = (F.col("radius_a") + F.col("radius_b")) * (1 + 1e-9) + F.lit(slack)
-        self.pairs = durable(met.filter(F.col("between") <= reach).select("a", "b"))
+        ends = ["first_a", "last_a", "first_b", "last_b"]
+        spans = met.filter(F.col("between") <= reach).select(*ends).distinct()
+        pairs = spans.withColumn("a", F.explode(F.sequence("first_a", "last_a")))
+        return pairs.select("a", F.explode(F.sequence("first_b", "last_b")).alias("b")).filter("a <= b").distinct()
+
+    def inside(self, points: DataFrame, fn, schema) -> DataFrame:
+        """``fn(side)`` for every block of ``points``, which are ``self.points`` or some of them with other columns."""
+        d = self.d
+        return points.groupBy("block").applyInArrow(lambda table: fn(Side(table, d)), schema)
 
     def compare(self, points: DataFrame, columns: list[str], fn, schema: str) -> DataFrame:
-        """``fn(left, right)`` for every block pair, as Arrow tables.
+        """``fn(left, right)`` for every pair of parts in reach, as Arrow tables.
 
         ``points`` are ``self.points`` with more columns; ``right`` is None
-        for a block paired with itself. A task sees two blocks at a time.
+        for a part paired with itself. A task sees two blocks at a time.
         """
+        d, eps = self.d, self.eps
         sides = self.pairs.select("a", "b", F.col("a").alias("block")).unionByName(
             self.pairs.filter("a < b").select("a", "b", F.col("b").alias("block"))
         )
-        rows = points.select("block", *columns).join(sides, "block")
+        rows = points.select("block", "ball", "place", *columns).join(sides, "block")
 
         def run(table: pa.Table) -> pa.Table:
             block, a = table.column("block"), table.column("a")[0].as_py()
             b = table.column("b")[0].as_py()
-            left = table.filter(pc.equal(block, a))
-            return fn(left, None if a == b else table.filter(pc.equal(block, b)))
+            left = Side(table.filter(pc.equal(block, a)), d)
+            right = left if a == b else Side(table.filter(pc.equal(block, b)), d)
+            part = lambda side, i: side.table.slice(side.parts[i].start, side.parts[i].stop - side.parts[i].start)
+            # Blocks in reach by their balls alone may have no parts in reach: one pair gives the empty result.
+            met = [(i, j) for i, j in left.near(right, eps) if a < b or i <= j] or [(0, 0)]
+            return pa.concat_tables(
+                fn(part(left, i), None if a == b and i == j else part(right, j)) for i, j in met
+            )
+
+        return rows.groupBy("a", "b").applyInArrow(run, schema)
+
+    def across(self, queries: DataFrame, points: DataFrame, columns: list[str], fn, schema: str) -> DataFrame:
+        """``fn(query side, point side)`` for all ``queries`` and what ``points`` may be within ``eps``.
+
+        Both are ``self.points``, or some of them, with more columns. Blocks with few
+        queries are taken together, so each point meets as few tasks as the queries fill.
+        """
+        d = self.d
+        held = queries.groupBy("block").agg(F.count(F.lit(1)).alias("size"))
+        # One row per block.
+        before = F.sum("size").over(Window.orderBy("block")) - F.col("size")
+        asked = durable(held.select("block", F.floor(before / F.lit(self.rows)).cast("long").alias("a")))
+        both = self.pairs.unionByName(self.pairs.filter("a < b").select(F.col("b").alias("a"), F.col("a").alias("b")))
+        met = durable(asked.join(both.withColumnRenamed("a", "block"), "block").select("a", "b").distinct())
+        names = ["block", "ball", "place", *columns]
+        left = queries.select(*names).join(asked, "block").join(met, "a").withColumn("asks", F.lit(True))
+        right = points.select(*names).join(met.withColumn("block", F.col("b")), "block").withColumn("asks", F.lit(False))
+
+        def run(table: pa.Table) -> pa.Table:
+            asks = table.column("asks")
+            return fn(Side(table.filter(asks), d), Side(table.filter(pc.invert(asks)), d))
 
+        rows = left.unionByName(right)
         return rows.groupBy("a", "b").applyInArrow(run, schema)
 
 

@@ -160,3 +160,38 @@ def test_blocks_miss_no_pair_and_skip_most(spark, monkeypatch, rows):
     n = len(set(block.values()))
     if rows == 40:
         assert n >= 12 and len(pairs) < 0.35 * n * (n + 1) / 2
+
+
+def test_blocks_follow_the_number_of_points(spark):
+    # No direction parts these points, but they fall into many balls and cells.
+    x = np.random.default_rng(4).normal(0, 1, (3000, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "id long, w long, x array<double>")
+    blocks = neighbours.Blocks(df, 12, 0.5)
+    assert {r["block"] for r in blocks.points.select("block").collect()} == {0}
+    assert [(r["a"], r["b"]) for r in blocks.pairs.collect()] == [(0, 0)]
+
+
+@pytest.mark.parametrize("min_samples, eps", [(3, 0.9), (9, 0.7), (60, 0.9)])
+def test_links_between_blocks(spark, monkeypatch, min_samples, eps):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(module, "PROBES", 2)
+    rng = np.random.default_rng(6)
+    centres = [np.eye(5)[0] * c for c in (0, 1.2, 2.4, 9, 12)]
+    x = np.concatenate([c + rng.normal(0, 0.25, (80, 5)) for c in centres] + [rng.uniform(-3, 12, (40, 5))])
+    rng.shuffle(x)
+    check(spark, x, eps, min_samples)
+
+
+def test_only_open_points_meet_other_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 100)
+    asked, across = [], neighbours.Blocks.across
+
+    def counted(self, queries, *rest):
+        asked.append(queries.count())
+        return across(self, queries, *rest)
+
+    monkeypatch.setattr(neighbours.Blocks, "across", counted)
+    x = np.random.default_rng(8).normal(0, 1, (600, 6))
+    check(spark, x, 2.0, 3)
+    assert len(asked) >= 3 and sum(asked) < 0.5 * len(x)
